@@ -46,11 +46,11 @@ def query(function: Query) -> Query:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ft.feature_table(td.relations(spark, sf_dir), td.SPEC, split_hash="md5")
+    return ft.feature_table(td.relations(td.Source(spark, sf_dir)), td.SPEC, split_hash="md5")
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return td.surrogate_scored(spark, sf_dir)
+    return td.surrogate_scored(td.Source(spark, sf_dir))
 
 
 def _ranked(spark: SparkSession, sf_dir: str, *splits: str) -> DataFrame:
@@ -88,7 +88,7 @@ def _model_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def ingest_counts(spark, sf_dir):
-    return table_counts(register(td.relations(spark, sf_dir)))
+    return table_counts(register(td.relations(td.Source(spark, sf_dir))))
 
 
 def _fingerprint(tables) -> DataFrame:
@@ -116,26 +116,26 @@ def _fingerprint(tables) -> DataFrame:
 def csv_roundtrip(spark, sf_dir):
     """All relations written as CSV with a header and read back with typed columns."""
     base = storage.scratch_path(spark, "csv")
-    for name, df in td.relations(spark, sf_dir).items():
+    for name, df in td.relations(td.Source(spark, sf_dir)).items():
         storage.write_csv(df, f"{base}/{name}.csv")
     return _fingerprint(load_tables(spark, base, "csv", id_type="bigint"))
 
 
 @query
 def norm_customers(spark, sf_dir):
-    return nm.normalize_customers(td.raw_customers(spark, sf_dir), td.SPEC)
+    return nm.normalize_customers(td.raw_customers(td.Source(spark, sf_dir)), td.SPEC)
 
 
 @query
 def bootstrap_customers(spark, sf_dir):
     """Twice as many rows as there are customers, charges as they are."""
-    customers = nm.normalize_customers(td.raw_customers(spark, sf_dir), td.SPEC)
+    customers = nm.normalize_customers(td.raw_customers(td.Source(spark, sf_dir)), td.SPEC)
     return rs.bootstrap_customers(customers, 2 * customers.count(), jitter=False)
 
 
 @query
 def bootstrap_jitter(spark, sf_dir):
-    customers = nm.normalize_customers(td.raw_customers(spark, sf_dir), td.SPEC)
+    customers = nm.normalize_customers(td.raw_customers(td.Source(spark, sf_dir)), td.SPEC)
     return rs.bootstrap_customers(customers, 2 * customers.count()).select(
         "customer_id", "source_customer_id", "monthly_charges"
     )
@@ -143,7 +143,7 @@ def bootstrap_jitter(spark, sf_dir):
 
 @query
 def label_rate(spark, sf_dir):
-    return nm.outcome_rate(td.customers(spark, sf_dir))
+    return nm.outcome_rate(td.customers(td.Source(spark, sf_dir)))
 
 
 # ---- features
@@ -151,22 +151,22 @@ def label_rate(spark, sf_dir):
 
 @query
 def usage_features(spark, sf_dir):
-    return ft.usage_features(td.usage(spark, sf_dir), td.SPEC)
+    return ft.usage_features(td.usage(td.Source(spark, sf_dir)), td.SPEC)
 
 
 @query
 def payment_features(spark, sf_dir):
-    return ft.payment_features(td.payments(spark, sf_dir), td.SPEC)
+    return ft.payment_features(td.payments(td.Source(spark, sf_dir)), td.SPEC)
 
 
 @query
 def ticket_features(spark, sf_dir):
-    return ft.ticket_features(td.tickets(spark, sf_dir), td.SPEC)
+    return ft.ticket_features(td.tickets(td.Source(spark, sf_dir)), td.SPEC)
 
 
 @query
 def call_features(spark, sf_dir):
-    return ft.call_features(td.service_calls(spark, sf_dir), td.SPEC)
+    return ft.call_features(td.service_calls(td.Source(spark, sf_dir)), td.SPEC)
 
 
 @query
@@ -176,12 +176,12 @@ def feature_table(spark, sf_dir):
 
 @query
 def split_assignment(spark, sf_dir):
-    return ft.split_assignment(td.customers(spark, sf_dir), split_hash="md5")
+    return ft.split_assignment(td.customers(td.Source(spark, sf_dir)), split_hash="md5")
 
 
 @query
 def split_xxhash(spark, sf_dir):
-    return ft.split_assignment(td.customers(spark, sf_dir))
+    return ft.split_assignment(td.customers(td.Source(spark, sf_dir)))
 
 
 @query
@@ -276,7 +276,7 @@ def gains_at_decile(spark, sf_dir):
 
 
 def _ranked_exact(spark, sf_dir):
-    scored = td.surrogate_scored_exact(spark, sf_dir).filter(F.col("split") == "test")
+    scored = td.surrogate_scored_exact(td.Source(spark, sf_dir)).filter(F.col("split") == "test")
     return scored, mt.rank_groups(mt.score_groups(scored), parts=RANGES)
 
 
@@ -299,7 +299,8 @@ def exact_score_curves(spark, sf_dir):
 @query
 def model_comparison(spark, sf_dir):
     """Evaluation bundle of all models, put into a metrics document and flattened again."""
-    table = comparison_table(metrics_document(evaluate(_scored(spark, sf_dir), unit=BASIS)))
+    scored = storage.through_table(_scored(spark, sf_dir), storage.scratch_path(spark, "scored"))
+    table = comparison_table(metrics_document(evaluate(scored, unit=BASIS)))
     return table.withColumn("pr_auc", F.round("pr_auc", 9))
 
 
@@ -476,7 +477,7 @@ def scored_customers(spark, sf_dir):
 @query
 def run_metrics(spark, sf_dir):
     """Run report of one model through the JSON sink, read back and flattened."""
-    relations = td.relations(spark, sf_dir)
+    relations = td.relations(td.Source(spark, sf_dir))
     encoded = _encoded(spark, sf_dir)
     names = ["logistic_regression"]
     fitted = _fit(encoded, *names)

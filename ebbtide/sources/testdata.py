@@ -22,12 +22,35 @@ OUTCOME_MONTHS = 12
 EVENT_EPOCH = date(2024, 1, 30)
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+# Columns in use; with a given schema a scan needs no footer-reading job up front.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
 
 
-def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "orders").withColumn("o_day", F.col("o_orderdate").cast("date"))
+class Source:
+    """Test tables of one scale, each opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._open: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._open:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self._open[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._open[name]
+
+    def dated_orders(self) -> DataFrame:
+        return self.table("orders").withColumn("o_day", F.col("o_orderdate").cast("date"))
 
 
 def _contract() -> Column:
@@ -46,9 +69,9 @@ def _pick(code: Column, values: list[str]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), code.cast("int") + 1)
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customers(source: Source) -> DataFrame:
     snapshot = F.lit(SPEC.snapshot)
-    history = _orders(spark, sf_dir).groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    history = source.dated_orders().groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_day").alias("first_day"),
         F.bool_or(
             (F.col("o_day") > snapshot) & (F.col("o_day") <= F.add_months(snapshot, OUTCOME_MONTHS))
@@ -57,9 +80,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest_signup = F.date_sub(snapshot, 30)
     acctbal = F.col("c_acctbal")
     return (
-        _read(spark, sf_dir, "customer")
-        .join(_read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        source.table("customer")
+        .join(source.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(source.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .join(history, "c_custkey", "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
@@ -79,9 +102,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def usage(source: Source) -> DataFrame:
     monthly = (
-        _orders(spark, sf_dir)
+        source.dated_orders()
         .filter(in_window("o_day", SPEC))
         .groupBy(F.col("o_custkey").alias("customer_id"), F.trunc("o_day", "month").alias("month"))
         .agg(
@@ -91,7 +114,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(F.substring("o_orderpriority", 1, 1).cast("int")).alias("app_logins"),
         )
     )
-    offline = _read(spark, sf_dir, "customer").select(
+    offline = source.table("customer").select(
         F.col("c_custkey").alias("customer_id"), (F.col("c_nationkey") % 3 == 2).alias("offline")
     )
     return monthly.join(offline, "customer_id").select(
@@ -101,10 +124,10 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(source: Source) -> DataFrame:
     priority = F.substring("o_orderpriority", 1, 1)
     return (
-        _orders(spark, sf_dir)
+        source.dated_orders()
         .filter(in_window("o_day", SPEC))
         .withColumn("days_late", F.when(priority == "5", 10).when(priority == "4", 3).otherwise(0))
         .select(
@@ -117,13 +140,13 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tickets(source: Source) -> DataFrame:
     lines = (
-        _read(spark, sf_dir, "lineitem")
+        source.table("lineitem")
         .withColumn("created_date", F.col("l_shipdate").cast("date"))
         .filter((F.col("l_returnflag") != "N") & in_window("created_date", SPEC))
     )
-    owners = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    owners = source.table("orders").select("o_orderkey", "o_custkey")
     number = F.col("l_linenumber")
     return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").alias("customer_id"),
@@ -137,10 +160,10 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def service_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def service_calls(source: Source) -> DataFrame:
     age_in_days = F.datediff(F.lit(EVENT_EPOCH), F.col("ts").cast("date"))
     kind = F.col("event_type")
-    return _read(spark, sf_dir, "events").select(
+    return source.table("events").select(
         F.col("user_id").alias("customer_id"),
         F.date_sub(F.lit(SPEC.snapshot), age_in_days * 6).alias("call_date"),
         (F.floor(F.col("value") * 4.0).cast("double") / 4.0).alias("duration_min"),
@@ -150,12 +173,12 @@ def service_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def relations(spark: SparkSession, sf_dir: str) -> Tables:
+def relations(source: Source) -> Tables:
     makers = (customers, usage, payments, tickets, service_calls)
-    return {maker.__name__: maker(spark, sf_dir) for maker in makers}
+    return {maker.__name__: maker(source) for maker in makers}
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_customers(source: Source) -> DataFrame:
     """The raw customer file: text-heavy, header names padded with blanks."""
     key = F.col("c_custkey")
     charge = _monthly_charges()
@@ -179,7 +202,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         ],
         F.when(key % 4 == 0, "Yes").otherwise("No").alias("Churn"),
     ]
-    df = _read(spark, sf_dir, "customer").select(columns)
+    df = source.table("customer").select(columns)
     return df.toDF(*[f" {name} " for name in df.columns])
 
 
@@ -209,12 +232,12 @@ def surrogate_wide(features: DataFrame) -> DataFrame:
     )
 
 
-def surrogate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_rows(source: Source) -> DataFrame:
     """(customer_id, split, label, points) with only the histories that the surrogate score looks at."""
     return (
-        customers(spark, sf_dir)
-        .join(payment_features(payments(spark, sf_dir), SPEC), "customer_id", "left")
-        .join(ticket_features(tickets(spark, sf_dir), SPEC), "customer_id", "left")
+        customers(source)
+        .join(payment_features(payments(source), SPEC), "customer_id", "left")
+        .join(ticket_features(tickets(source), SPEC), "customer_id", "left")
         .fillna(0, ["late_payments", "complaint_count"])
         .select(
             "customer_id",
@@ -225,20 +248,20 @@ def surrogate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def surrogate_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_scored(source: Source) -> DataFrame:
     """Long scores of both surrogates in basis points."""
     both = F.array(
         F.struct(F.lit("s1").alias("model"), F.col("points").alias("score")),
         F.struct(F.lit("s2").alias("model"), (9999 - F.col("points")).alias("score")),
     )
-    return surrogate_rows(spark, sf_dir).select("customer_id", "split", "label", F.inline(both)).select(
+    return surrogate_rows(source).select("customer_id", "split", "label", F.inline(both)).select(
         "model", "split", "customer_id", "label", "score"
     )
 
 
-def surrogate_scored_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def surrogate_scored_exact(source: Source) -> DataFrame:
     """As ``surrogate_scored``, with hardly any two customers sharing a score."""
     fraction = digest_number(F.col("customer_id"), 9).cast("double") / F.lit(float(2 ** 32))
-    return surrogate_scored(spark, sf_dir).withColumn(
+    return surrogate_scored(source).withColumn(
         "score", (F.col("score").cast("double") + fraction) / F.lit(10_000.0)
     )

@@ -16,6 +16,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ebbtide-test-"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ebbtide-warehouse-"))
         .getOrCreate()
