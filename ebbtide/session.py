@@ -24,6 +24,8 @@ def build_session(app_name: str = "ebbtide") -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # Recording a Python call site for every column expression slows down plan building.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in defaults.items():
         if not submitted.contains(key):
