@@ -48,9 +48,12 @@ def score_groups(scored: DataFrame) -> DataFrame:
 def rank_groups(groups: DataFrame, parts: int | None = None) -> DataFrame:
     """Score groups with cumulative and total counts, scores descending.
 
-    ``parts=None`` is for basis points. Probabilities as such need a number of ranges; see ``prefix``.
+    Whole-number scores are basis points, hence few groups, and take one window per model and split. Fractional
+    scores may be as many as customers; they are placed in ``parts`` ranges (default: the shuffle partitions).
     """
-    if parts is not None:
+    fractional = dict(groups.dtypes)["score"] in ("double", "float")
+    if fractional:
+        parts = parts or int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         groups = place_by_range(groups, KEYS, "score", parts)
     return running_sums(groups, KEYS, "score", ["pos", "neg"], following=("pos", "neg"))
 

@@ -49,7 +49,7 @@ def plan_tier() -> Column:
 
 def normalize_customers(raw: DataFrame, spec: ObservationSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """One narrow projection; ``keep`` names extra columns to pass through."""
-    tenure = F.least(F.greatest(F.col("tenure"), F.lit(0)), F.lit(MAX_TENURE)).cast("int")
+    tenure = F.least(F.greatest(F.col("tenure").cast("int"), F.lit(0)), F.lit(MAX_TENURE))
     return trim_header(raw).select(
         F.col("customerID").cast("string").alias("customer_id"),
         F.date_sub(F.lit(spec.snapshot), F.greatest(tenure, F.lit(1)) * 30).alias("signup_date"),

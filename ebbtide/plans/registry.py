@@ -318,6 +318,17 @@ def risk_scores_query(spark, sf_dir):
 QUERIES["risk_scores"] = QUERIES.pop("risk_scores_query")
 
 
+@query
+def risk_scores_exact(spark, sf_dir):
+    """Unrounded probabilities: bands and predictions go by the rounded one, the threshold stays as it is."""
+    scored = td.surrogate_scored_exact(td.Source(spark, sf_dir)).filter(F.col("split") == "val")
+    choice = mt.pick_best(mt.split_summary(mt.rank_groups(mt.score_groups(scored), parts=RANGES)))
+    wide = td.surrogate_wide(_features(spark, sf_dir), exact=True)
+    return risk_scores(wide, td.SURROGATES, choice, td.SPEC).select(
+        "customer_id", "churn_probability", "risk_band", "predicted_churn", "prob_s1", "prob_s2"
+    )
+
+
 @query
 def risk_factors(spark, sf_dir):
     return _scores(spark, sf_dir).select("customer_id", "risk_factors")

@@ -48,6 +48,11 @@ def _read_csv(spark: SparkSession, path: str, table: str, id_type: str) -> DataF
     return spark.read.schema(ordered).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+def read_raw_customers(spark: SparkSession, path: str) -> DataFrame:
+    """The raw customer CSV as text; cleaning decides what each column means."""
+    return spark.read.option("header", True).csv(path)
+
+
 def load_catalog(spark: SparkSession, database: str) -> Tables:
     """The same relations from catalog tables, e.g. of a Hive metastore."""
     return register({table: conform(spark.table(f"{database}.{table}"), table) for table in TABLES})

@@ -221,15 +221,21 @@ def surrogate_points() -> Column:
     ).cast("bigint")
 
 
-def surrogate_wide(features: DataFrame) -> DataFrame:
-    """Features with the two surrogate models ``s1`` and its mirror image ``s2`` as probabilities."""
+def _fraction() -> Column:
+    """Below one basis point and different for nearly all customers."""
+    return digest_number(F.col("customer_id"), 9).cast("double") / F.lit(float(2 ** 32))
+
+
+def surrogate_wide(features: DataFrame, exact: bool = False) -> DataFrame:
+    """Features with the two surrogate models ``s1`` and its mirror image ``s2`` as probabilities.
+
+    ``exact`` adds a fraction of a basis point, so that rounding has something to do.
+    """
     points = features.withColumn("_points", surrogate_points())
-    return (
-        points
-        .withColumn("prob_s1", F.col("_points") / F.lit(10_000.0))
-        .withColumn("prob_s2", (9999 - F.col("_points")) / F.lit(10_000.0))
-        .drop("_points")
-    )
+    fraction = _fraction() if exact else F.lit(0.0)
+    for model, value in zip(SURROGATES, (F.col("_points"), 9999 - F.col("_points"))):
+        points = points.withColumn(f"prob_{model}", (value.cast("double") + fraction) / F.lit(10_000.0))
+    return points.drop("_points")
 
 
 def surrogate_rows(source: Source) -> DataFrame:
@@ -261,7 +267,6 @@ def surrogate_scored(source: Source) -> DataFrame:
 
 def surrogate_scored_exact(source: Source) -> DataFrame:
     """As ``surrogate_scored``, with hardly any two customers sharing a score."""
-    fraction = digest_number(F.col("customer_id"), 9).cast("double") / F.lit(float(2 ** 32))
     return surrogate_scored(source).withColumn(
-        "score", (F.col("score").cast("double") + fraction) / F.lit(10_000.0)
+        "score", (F.col("score").cast("double") + _fraction()) / F.lit(10_000.0)
     )

@@ -486,6 +486,22 @@ SQL: dict[str, str] = {
         then="SELECT customer_id, churn_probability, risk_band, predicted_churn, actual_churn, split, prob_s1, prob_s2 "
         "FROM export",
     ),
+    "risk_scores_exact": _with(
+        *EXACT, CHOICE,
+        """exact_wide AS (
+  SELECT customer_id, MAX(CASE WHEN model = 's1' THEN score END) AS p1, MAX(CASE WHEN model = 's2' THEN score END) AS p2
+  FROM exact_scored GROUP BY customer_id
+),
+chosen AS (
+  SELECT customer_id, ROUND(CASE WHEN model = 's1' THEN p1 ELSE p2 END, 4) AS churn_probability, threshold,
+         ROUND(p1, 4) AS prob_s1, ROUND(p2, 4) AS prob_s2
+  FROM exact_wide, choice
+)""",
+        then="SELECT customer_id, churn_probability, "
+        "CASE WHEN churn_probability >= 5E-1 THEN 'High' WHEN churn_probability >= 25E-2 THEN 'Medium' ELSE 'Low' END "
+        "AS risk_band, CASE WHEN churn_probability >= threshold THEN 1 ELSE 0 END AS predicted_churn, prob_s1, prob_s2 "
+        "FROM chosen",
+    ),
     "risk_factors": _with(*EXPORT, then="SELECT customer_id, risk_factors FROM export"),
     "portfolio_kpis": _with(
         *EXPORT,

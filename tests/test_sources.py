@@ -10,6 +10,7 @@ from ebbtide.operators import features as ft
 from ebbtide.operators import normalize as nm
 from ebbtide.operators import resample as rs
 from ebbtide.plans.job import source_label
+from ebbtide.plans.prepare import prepare
 from ebbtide.sources import storage
 from ebbtide.sources import tables as tb
 from ebbtide.sources import testdata as td
@@ -117,6 +118,16 @@ def test_cleaning(spark):
     assert raw(spark, MonthlyCharges=29.858).monthly_charges == 29.86
 
 
+def test_prepare_from_a_raw_csv(spark, tmp_path):
+    raw_rows = td.raw_customers(td.Source(spark, SF_SMALL))
+    raw_rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(str(tmp_path / "raw.csv"))
+    loaded = tb.read_raw_customers(spark, str(tmp_path / "raw.csv"))
+    written = prepare(loaded, str(tmp_path / "core"), td.SPEC)
+    want = nm.normalize_customers(raw_rows, td.SPEC)
+    assert written.drop("source_customer_id").exceptAll(want).count() == 0 and written.count() == 150
+    assert prepare(loaded, str(tmp_path / "more"), td.SPEC, scale=400).count() == 400
+
+
 @pytest.mark.parametrize("addons, plan", [(0, "Basic"), (1, "Basic"), (2, "Standard"), (4, "Standard"), (5, "Premium")])
 def test_plan_tier(spark, addons, plan):
     assert raw(spark, **{name: "Yes" if i < addons else "No" for i, name in enumerate(nm.ADDONS)}).plan == plan
