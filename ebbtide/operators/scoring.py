@@ -10,13 +10,13 @@ from ebbtide.spec import CATEGORICAL, NUMERIC, ObservationSpec
 
 
 def select_probability(wide: DataFrame, models: list[str], choice: DataFrame) -> DataFrame:
-    """Add ``p`` and ``threshold`` of the chosen model. ``choice`` is one row (model, threshold)."""
-    options = F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"prob_{m}").alias("p")) for m in models])
-    return (
-        wide.select("*", F.inline(options))
-        .join(F.broadcast(choice.select("model", "threshold")), "model")
-        .drop("model")
-    )
+    """Add ``p`` and ``threshold`` of the chosen model. ``choice`` is one row (model, threshold).
+
+    The choice enters as a scalar subquery: evaluated once, then a constant for every row.
+    """
+    chosen = choice.select(F.struct("model", "threshold")).scalar()
+    probability = F.coalesce(*[F.when(chosen["model"] == m, F.col(f"prob_{m}")) for m in models])
+    return wide.select("*", probability.alias("p"), chosen["threshold"].alias("threshold"))
 
 
 def risk_scores(

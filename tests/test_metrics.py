@@ -208,7 +208,7 @@ def test_evaluation_is_the_same_both_ways(spark):
     rows = []
     for model in ("a", "b"):
         for split in ("val", "test", "train"):
-            for i, (y, p) in enumerate(random_rows(250, 10_000, seed=len(model + split), parts=5)):
+            for i, (y, p) in enumerate(random_rows(250, 10_000, seed=ord(model) + len(split), parts=5)):
                 rows.append((model, split, i, y, p))
     df = spark.createDataFrame(rows, SCHEMA)
     points = df.withColumn("score", F.round(F.col("score") * 10_000).cast("bigint"))
