@@ -7,10 +7,12 @@ chains the fitted models over one encoded relation, so no join is needed to brin
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -50,6 +52,7 @@ GRIDS: dict[str, dict[str, list[Any]]] = {
 FOLDS = 3
 PATIENCE = 50
 TOP_FEATURES = 15
+PARALLEL_FITS = 4
 REPORTED_PARAMS = ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees", "stepSize")
 
 MODELS = tuple(DISPLAY_NAMES)
@@ -155,7 +158,7 @@ def fit_early_stopped(
     best one. The same seed gives the same leading trees.
     """
     cap = {**PARAMS[name], **(overrides or {})}["maxIter"]
-    rounds = min(cap, 2 * patience)
+    rounds = min(cap, 4 * patience)
     while True:
         model = classifier(name, {**(overrides or {}), "maxIter": rounds}).fit(train)
         best, stopped = best_round(list(model.evaluateEachIteration(validation)), patience)
@@ -192,6 +195,26 @@ def fit(
     return Fitted(name, model, round(time.monotonic() - started, 1), params)
 
 
+def fit_all(
+    names: tuple[str, ...],
+    encoded: DataFrame,
+    tune: bool = False,
+    overrides: dict[str, dict[str, Any]] | None = None,
+    patience: int = PATIENCE,
+    parallelism: int = PARALLEL_FITS,
+) -> list[Fitted]:
+    """Fit several classifiers, ``parallelism`` at a time; their many short jobs then share the executors."""
+
+    def one(name: str) -> Fitted:
+        return fit(
+            name, encoded, tune=tune and name in GRIDS, overrides=(overrides or {}).get(name), patience=patience
+        )
+
+    in_session = inheritable_thread_target(encoded.sparkSession)
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return list(pool.map(in_session(one), names))
+
+
 def fitted_params(model) -> dict[str, float]:
     found = {param.name: value for param, value in model.extractParamMap().items()}
     return {name: float(found[name]) for name in REPORTED_PARAMS if name in found}

@@ -75,7 +75,7 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit(encoded: DataFrame, *names: str) -> list[md.Fitted]:
-    return [md.fit(name, encoded, overrides=SMALL_FIT[name], patience=3) for name in names]
+    return md.fit_all(names, encoded, overrides=SMALL_FIT, patience=3)
 
 
 def _model_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
