@@ -157,62 +157,59 @@ def threshold_metrics(confusions: DataFrame, unit: float = 1.0) -> DataFrame:
     )
 
 
-def roc_points(ranked: DataFrame) -> DataFrame:
-    """(model, split, idx, length, x=fpr, y=tpr), from (0, 0) on.
+def curve_points(ranked: DataFrame) -> DataFrame:
+    """(model, split, curve, idx, length, x, y) of the ROC and the precision-recall curve, in one pass.
 
-    A threshold is left out when it lies on the straight line between its neighbours, that is when the next group
-    has the same number of positives and of negatives; the first and the last threshold always stay.
+    ``roc``: fpr and tpr from (0, 0) on, thresholds descending. A threshold is left out when it lies on the straight
+    line between its neighbours, that is when the next group has the same number of positives and of negatives; the
+    first and the last threshold always stay.
+
+    ``pr``: recall and precision, thresholds ascending, closed by (0, 1).
     """
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    kept = ranked.filter(first | F.col("next_pos").isNull() | bends).withColumn("one", F.lit(1).cast("bigint"))
-    numbered = running_sums(kept, KEYS, "score", ["one"])
-    points = numbered.select(
-        *KEYS,
-        F.col("cum_one").alias("idx"),
-        (F.col("total_one") + 1).alias("length"),
-        ratio(F.col("cum_neg"), F.col("total_neg")).alias("x"),
-        ratio(F.col("cum_pos"), F.col("total_pos")).alias("y"),
-    )
-    origin = numbered.filter(F.col("cum_one") == 1).select(
-        *KEYS,
-        F.lit(0).cast("bigint").alias("idx"),
-        (F.col("total_one") + 1).alias("length"),
-        F.when(F.col("total_neg") > 0, 0.0).alias("x"),
-        F.when(F.col("total_pos") > 0, 0.0).alias("y"),
-    )
-    return points.unionByName(origin)
+    bends = first | F.col("next_pos").isNull() | bends
+    flagged = ranked.withColumn("bend", F.when(bends, 1).otherwise(0).cast("bigint"))
+    numbered = running_sums(flagged.withColumn("one", F.lit(1).cast("bigint")), KEYS, "score", ["bend", "one"])
 
+    tp, fp, positives, negatives = (F.col(c) for c in ("cum_pos", "cum_neg", "total_pos", "total_neg"))
+    bend_count, count, at_start = F.col("total_bend"), F.col("total_one"), F.col("cum_one") == 1
 
-def pr_points(ranked: DataFrame) -> DataFrame:
-    """(model, split, idx, length, x=recall, y=precision), thresholds ascending, closed by (0, 1)."""
-    numbered = running_sums(ranked.withColumn("one", F.lit(1).cast("bigint")), KEYS, "score", ["one"])
-    length = (F.col("total_one") + 1).alias("length")
-    points = numbered.select(
-        *KEYS,
-        (F.col("total_one") - F.col("cum_one")).alias("idx"),
-        length,
-        ratio(F.col("cum_pos"), F.col("total_pos")).alias("x"),
-        ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("y"),
-    )
-    closing = numbered.filter(F.col("cum_one") == 1).select(
-        *KEYS, F.col("total_one").alias("idx"), length, F.lit(0.0).alias("x"), F.lit(1.0).alias("y")
+    def point(curve: str, idx: Column, last: Column, x: Column, y: Column) -> Column:
+        return F.struct(
+            F.lit(curve).alias("curve"), idx.cast("bigint").alias("idx"), (last + 1).alias("length"),
+            x.alias("x"), y.alias("y"),
+        )
+
+    points = F.array(
+        F.when(
+            F.col("bend") == 1, point("roc", F.col("cum_bend"), bend_count, ratio(fp, negatives), ratio(tp, positives))
+        ),
+        point("pr", count - F.col("cum_one"), count, ratio(tp, positives), ratio(tp, tp + fp)),
+        F.when(
+            at_start,
+            point("roc", F.lit(0), bend_count, F.when(negatives > 0, 0.0), F.when(positives > 0, 0.0)),
+        ),
+        F.when(at_start, point("pr", count, count, F.lit(0.0), F.lit(1.0))),
     )
-    return points.unionByName(closing)
+    return numbered.select(*KEYS, F.inline(F.array_compact(points)))
 
 
 def downsample(points: DataFrame, n: int = CURVE_POINTS) -> DataFrame:
-    """At most ``n`` evenly spread points per curve, both ends included, rounded to 4 digits."""
-    last = F.col("length") - 1
+    """At most ``n`` evenly spread points per curve, both ends included, rounded to 4 digits.
+
+    The i-th wanted index is ``floor(i * stride)``. Whether an index is one of them follows from the few ``i`` around
+    ``idx / stride``, so this is a filter.
+    """
+    last, idx = F.col("length") - 1, F.col("idx")
     stride = last.cast("double") / F.lit(float(n - 1))
-    spread = F.transform(F.sequence(F.lit(0), F.lit(n - 2)), lambda i: F.floor(i * stride).cast("bigint"))
-    wanted = (
-        points.groupBy(*KEYS).agg(F.max("length").alias("length"))
-        .select(*KEYS, F.explode(F.array_distinct(F.array_append(spread, last))).alias("idx"))
+    near = F.floor(ratio(idx, stride)).cast("bigint")
+    wanted = F.exists(
+        F.array(*[near + shift for shift in (-1, 0, 1, 2)]),
+        lambda i: i.between(0, n - 2) & (F.floor(i * stride) == idx),
     )
-    # n rows per curve at most.
-    return points.join(F.broadcast(wanted), [*KEYS, "idx"], "left_semi").select(
-        *KEYS, "idx", F.round("x", 4).alias("x"), F.round("y", 4).alias("y")
+    return points.filter((idx == last) | wanted).select(
+        *KEYS, "curve", "idx", F.round("x", 4).alias("x"), F.round("y", 4).alias("y")
     )
 
 

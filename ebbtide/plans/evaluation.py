@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.operators import metrics as m
@@ -29,24 +29,23 @@ THRESHOLD_FIELDS = ("threshold", "precision", "recall", "f1", "accuracy")
 def evaluate(scored: DataFrame, unit: float = 1.0, parts: int | None = None) -> DataFrame:
     """One row per model. Thresholds are tuned on the validation split; all else is measured on the test split."""
     judged = scored.filter(F.col("split").isin("val", "test"))
-    # Nine results start from the ranked groups; they are computed once and survive the loss of an executor.
+    # What several results start from is computed once, and survives the loss of an executor.
     ranked = cut_lineage(m.rank_groups(m.score_groups(judged), parts))
-    summary = m.split_summary(ranked)
+    summary = cut_lineage(m.split_summary(ranked))
     tests = ranked.filter(F.col("split") == "test")
     held_out = judged.filter(F.col("split") == "test")
 
-    validated = summary.filter(F.col("split") == "val").select(
-        "model",
-        F.col("roc_auc").alias("validation_roc_auc"),
-        (F.col("best_threshold").cast("double") / unit).alias("best_threshold"),
-    )
-    tested = summary.filter(F.col("split") == "test").select(
-        "model", "roc_auc", F.col("average_precision").alias("pr_auc")
+    def of(split: str, column: str) -> Column:
+        return F.max(F.when(F.col("split") == split, F.col(column)))
+
+    base = summary.groupBy("model").agg(
+        of("test", "roc_auc").alias("roc_auc"),
+        of("test", "average_precision").alias("pr_auc"),
+        of("val", "roc_auc").alias("validation_roc_auc"),
+        (of("val", "best_threshold").cast("double") / unit).alias("best_threshold"),
     )
     cuts = m.threshold_metrics(m.confusion(tests, m.cut_table(summary, unit)), unit)
-    measured = F.struct(
-        *THRESHOLD_FIELDS, F.struct("tp", "fp", "fn", "tn").alias("confusion")
-    )
+    measured = F.struct(*THRESHOLD_FIELDS, F.struct("tp", "fp", "fn", "tn").alias("confusion"))
     at_cuts = cuts.groupBy("model").agg(
         *[
             F.first(F.when(F.col("cut") == cut, measured), ignorenulls=True).alias(cut)
@@ -54,18 +53,17 @@ def evaluate(scored: DataFrame, unit: float = 1.0, parts: int | None = None) ->
         ]
     )
     lift = m.top_decile_lift(held_out, tests).select("model", "top_decile_lift")
-    result = tested.join(validated, "model", "left").join(lift, "model", "left").join(at_cuts, "model", "left")
-    for name, points in (("roc_curve", m.roc_points(tests)), ("pr_curve", m.pr_points(tests))):
-        result = result.join(_as_pairs(m.downsample(points), name), "model", "left")
-    return result
+    # At most CURVE_POINTS points per curve.
+    curves = m.downsample(m.curve_points(tests)).groupBy("model").agg(
+        _as_pairs("roc").alias("roc_curve"), _as_pairs("pr").alias("pr_curve")
+    )
+    return base.join(lift, "model", "left").join(at_cuts, "model", "left").join(curves, "model", "left")
 
 
-def _as_pairs(points: DataFrame, name: str) -> DataFrame:
-    """The few points of each curve as [[x, y], ...]."""
-    ordered = F.sort_array(F.collect_list(F.struct("idx", "x", "y")))
-    return points.groupBy("model").agg(
-        F.transform(ordered, lambda point: F.array(point["x"], point["y"])).alias(name)
-    )
+def _as_pairs(curve: str) -> Column:
+    """The points of a curve in order, as [[x, y], ...]."""
+    listed = F.collect_list(F.when(F.col("curve") == curve, F.struct("idx", "x", "y")))
+    return F.transform(F.sort_array(listed), lambda point: F.array(point["x"], point["y"]))
 
 
 def metrics_document(evaluation: DataFrame, facts: DataFrame | None = None, **run_values) -> DataFrame:

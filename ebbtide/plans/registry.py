@@ -234,25 +234,19 @@ def threshold_metrics(spark, sf_dir):
 
 @query
 def roc_curve(spark, sf_dir):
-    points = mt.roc_points(_ranked(spark, sf_dir, "test"))
+    points = mt.curve_points(_ranked(spark, sf_dir, "test")).filter(F.col("curve") == "roc")
     return points.select("model", "idx", F.col("x").alias("fpr"), F.col("y").alias("tpr"))
 
 
 @query
 def pr_curve(spark, sf_dir):
-    points = mt.pr_points(_ranked(spark, sf_dir, "test"))
+    points = mt.curve_points(_ranked(spark, sf_dir, "test")).filter(F.col("curve") == "pr")
     return points.select("model", "idx", F.col("x").alias("recall"), F.col("y").alias("precision"))
 
 
-def _both_curves(ranked):
-    roc = mt.downsample(mt.roc_points(ranked)).select("model", F.lit("roc").alias("curve"), "idx", "x", "y")
-    pr = mt.downsample(mt.pr_points(ranked)).select("model", F.lit("pr").alias("curve"), "idx", "x", "y")
-    return roc.unionByName(pr)
-
-
 @query
 def curve_downsample(spark, sf_dir):
-    return _both_curves(_ranked(spark, sf_dir, "test"))
+    return mt.downsample(mt.curve_points(_ranked(spark, sf_dir, "test"))).drop("split")
 
 
 def _held_out(spark, sf_dir):
@@ -293,7 +287,7 @@ def exact_score_summary(spark, sf_dir):
 
 @query
 def exact_score_curves(spark, sf_dir):
-    return _both_curves(_ranked_exact(spark, sf_dir)[1])
+    return mt.downsample(mt.curve_points(_ranked_exact(spark, sf_dir)[1])).drop("split")
 
 
 @query

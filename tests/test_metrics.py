@@ -63,6 +63,12 @@ def ranked(df, parts=WINDOW):
     return mt.rank_groups(mt.score_groups(df), parts)
 
 
+def curve(groups, name):
+    points = mt.curve_points(groups).filter(F.col("curve") == name).orderBy("idx").collect()
+    assert [p.idx for p in points] == list(range(points[0].length))
+    return [(p.x, p.y) for p in points]
+
+
 def test_way_is_chosen_by_the_kind_of_score(spark):
     assert "_range" not in ranked(scored(spark, [(1, 3)])).columns
     assert "_range" in ranked(scored(spark, [(1, 0.3)])).columns
@@ -94,25 +100,23 @@ def test_curves_equal_brute_force(spark, parts):
         for i, (_, tp, fp) in enumerate(cumulated)
         if i in (0, len(cumulated) - 1) or steps[i] != steps[i + 1]
     ]
-    assert [(r.x, r.y) for r in mt.roc_points(groups).orderBy("idx").collect()] == expected
+    assert curve(groups, "roc") == expected
     expected = [(tp / positives, tp / (tp + fp)) for _, tp, fp in reversed(cumulated)] + [(0.0, 1.0)]
-    assert [(r.x, r.y) for r in mt.pr_points(groups).orderBy("idx").collect()] == expected
+    assert curve(groups, "pr") == expected
 
 
 def test_roc_leaves_out_collinear_points(spark):
     rows = [(y, p) for p in (0.9, 0.8, 0.7, 0.6) for y in (0, 1)]
-    found = [(r.x, r.y) for r in mt.roc_points(ranked(scored(spark, rows))).orderBy("idx").collect()]
-    assert found == [(0.0, 0.0), (0.25, 0.25), (1.0, 1.0)]
-
-
-def test_downsample_keeps_both_ends_and_at_most_n(spark):
-    rows = random_rows(500, 100_000, seed=9)
-    points = mt.pr_points(ranked(scored(spark, rows)))
-    found = [r.idx for r in mt.downsample(points).orderBy("idx").collect()]
-    length = points.count()
-    assert found == sorted({int(i * ((length - 1) / 119)) for i in range(119)} | {length - 1})
-    short = mt.pr_points(ranked(scored(spark, rows[:3])))
-    assert mt.downsample(short).count() == short.count()
+    assert curve(ranked(scored(spark, rows)), "roc") == [(0.0, 0.0), (0.25, 0.25), (1.0, 1.0)]
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 60, 119, 120, 121, 239, 240, 357, 1000, 9_999, 10_002])
+def test_downsample_takes_evenly_spread_indices(spark, length):
+    points = spark.range(length).selectExpr(
+        "'m' AS model", "'test' AS split", "'pr' AS curve", "id AS idx", f"{length}L AS length", "0D AS x", "0D AS y"
+    )
+    expected = {int(i * ((length - 1) / 119)) for i in range(119)} | {length - 1}
+    assert {r.idx for r in mt.downsample(points).collect()} == expected
 
 
 @pytest.mark.parametrize("parts", [WINDOW, 6])
