@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, token_counts
+from ebbtide.llm import bpe, quality_cnn, token_counts, token_store
+from ebbtide.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +31,16 @@ def op3_byte_pair_round_trip(spark, sf_dir):
 @query
 def op4_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_cnn(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_token_store(spark, sf_dir):
+    path = scratch_path(spark, "tokens")
+    token_store.write_store(table(spark, sf_dir, "documents"), path)
+    return token_store.read_store(spark, path, with_ids=False)
