@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, quality_cnn, token_counts, token_store
+from ebbtide.llm import bpe, quality_cnn, token_counts, token_store, toxicity
 from ebbtide.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def op5_quality_cnn(spark, sf_dir):
     return quality_cnn.score(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op10_token_store(spark, sf_dir):
     path = scratch_path(spark, "tokens")
