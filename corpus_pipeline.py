@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import bpe
+from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path, through_table
 
 
@@ -18,7 +19,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = reachable(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = through_table(stage(spark, docs, sf_dir), scratch_path(spark, "stage"))
     return docs

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, quality_cnn, token_counts, token_store, toxicity
+from ebbtide.llm import bpe, quality_cnn, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +21,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
@@ -45,6 +46,11 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op8_vector_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_token_store(spark, sf_dir):
     path = scratch_path(spark, "tokens")
