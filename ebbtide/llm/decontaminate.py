@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 MAX_EDITS = 0.1
 REPEATS = 3
 STEPS = 48
-PLACES = 10
-EARLY = 5
+PLACES = 16
+EARLY = 6
 SEED = 17
 BLOCK_CHARS = 2_000_000
 GROUP_BYTES = 1 << 20

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, quality_cnn, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm import bpe, decontaminate, quality_cnn, token_counts, token_store, toxicity, vector_dedup
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
@@ -46,6 +46,11 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op7_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
