@@ -7,6 +7,7 @@ executor costs no earlier round), and only a row count and a checksum come to th
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,19 @@ from ebbtide.sources.storage import scratch_path, through_table
 MAX_ROUNDS = 60
 
 
+def local_roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smallest position reachable from each of n positions over the links (x, y)."""
+    root = np.arange(n)
+    while True:
+        old = root.copy()
+        low = np.minimum(root[x], root[y])
+        np.minimum.at(root, x, low)
+        np.minimum.at(root, y, low)
+        root = root[root]
+        if np.array_equal(old, root):
+            return root
+
+
 def _least(pairs: DataFrame, node: str, other: str) -> DataFrame:
     return pairs.groupBy(node).agg(F.min(other).alias("least"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, quality_cnn, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm import bpe, decontaminate, ngram_join, quality_cnn, token_counts, token_store, toxicity, vector_dedup
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_byte_pair_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))

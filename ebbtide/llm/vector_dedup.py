@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.components import connected
+from ebbtide.llm.components import connected, local_roots
 from ebbtide.sources.storage import scratch_path, through_table
 
 COSINE = 0.98
@@ -79,19 +79,6 @@ def cells_of(points: np.ndarray, centres: np.ndarray, threshold: float, reach: f
     return home, copied
 
 
-def local_roots(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Smallest position reachable from each of n positions over the links (x, y)."""
-    root = np.arange(n)
-    while True:
-        old = root.copy()
-        low = np.minimum(root[x], root[y])
-        np.minimum.at(root, x, low)
-        np.minimum.at(root, y, low)
-        root = root[root]
-        if np.array_equal(old, root):
-            return root
-
-
 def compare_blocks(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """Links within one pair of blocks of a cell: per vector the copies it links with and a spanning link."""
     group = group.sort_values("id", ignore_index=True)
