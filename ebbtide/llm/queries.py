@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, ngram_join, quality_cnn, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn, token_counts, token_store, toxicity, vector_dedup
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
@@ -29,6 +29,12 @@ def op1_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_line_templates(spark, sf_dir):
+    kept = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 @query
 def op3_byte_pair_round_trip(spark, sf_dir):
     return bpe.round_trip(table(spark, sf_dir, "documents"))
