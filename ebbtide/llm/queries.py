@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn, secret_scan, token_counts, token_store, toxicity, vector_dedup
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
@@ -67,6 +67,11 @@ def op8_vector_dedup(spark, sf_dir):
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op9_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_token_store(spark, sf_dir):
     path = scratch_path(spark, "tokens")
