@@ -3,7 +3,8 @@
 The byte-level pattern lets a match begin with one space but never lets a match run from a non-space character into a
 space. A text may therefore be cut before every space that follows a non-space character, and the pieces encoded one by
 one. Words repeat, so a worker encodes each distinct piece once and puts a text together from remembered results. The
-memory is bounded: beyond ``MAX_CHARS`` it starts anew, which costs time and changes no result.
+memory is bounded: beyond ``MAX_CHARS`` a new generation begins, pieces still in use move over from the one before, and
+the rest is forgotten, which costs time and changes no result.
 """
 
 from __future__ import annotations
@@ -63,17 +64,18 @@ class PieceMemory:
     """What ``encode`` gave for each piece; ``encode`` takes a list of pieces and returns a list of results."""
 
     def __init__(self, encode: Callable[[list[str]], list], limit: int = MAX_CHARS) -> None:
-        self.encode, self.limit, self.known, self.size = encode, limit, {}, 0
+        self.encode, self.limit, self.size = encode, limit, 0
+        self.known, self.older = {}, {}
 
     def learn(self, rows: Iterable[list[str]]) -> dict:
         """A mapping that holds the pieces of all rows, for use until the next call."""
-        wanted = set().union(*rows)
-        unseen = wanted - self.known.keys()
-        self.size += sum(map(len, unseen)) + PIECE_CHARS * len(unseen)
         if self.size > self.limit:
-            self.known = {piece: self.known[piece] for piece in wanted - unseen}
-            self.size = sum(map(len, wanted)) + PIECE_CHARS * len(wanted)
-        for part in balanced(unseen):
+            self.known, self.older, self.size = {}, self.known, 0
+        unseen = set().union(*rows) - self.known.keys()
+        self.size += sum(map(len, unseen)) + PIECE_CHARS * len(unseen)
+        kept = unseen & self.older.keys()
+        self.known.update((piece, self.older[piece]) for piece in kept)
+        for part in balanced(unseen - kept):
             self.known.update(zip(part, self.encode(part)))
         return self.known
 

@@ -125,20 +125,47 @@ def unpack(table: bytes, blocks: list[dict]) -> np.ndarray:
 
 
 class LibraryEncoder:
-    """Ids of whole texts by the tokenizers library, which sees each distinct piece once per worker."""
+    """Ids of whole texts by the tokenizers library, which sees each distinct piece once per worker.
+
+    Unseen pieces go to the library as one text; since the bytes of the tokens add up to those of the text, the ids
+    are dealt back to the pieces by running sums of lengths.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.first = PieceMemory(self._ids)
-        self.rest = PieceMemory(lambda pieces: self._ids([f" {piece}" for piece in pieces]))
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a character of a token stands for one byte
+            self.sizes[i] = len(token)
+        self.first = PieceMemory(self._one_by_one)
+        self.rest = PieceMemory(self._together)
+
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        # Only the end of a text can leave a piece that ends in white space; it must not meet the next space.
+        tails = [p for p in pieces if not p or p[-1].isspace()]
+        if tails:
+            known = dict(zip(tails, self._one_by_one([f" {p}" for p in tails])))
+            plain = [p for p in pieces if p not in known]
+            if plain:
+                known.update(zip(plain, self._together(plain)))
+            return [known[p] for p in pieces]
+        text = f" {' '.join(pieces)}"
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(p.encode()) + 1 for p in pieces])
+        cuts = np.searchsorted(ends, wanted) + 1
+        if not np.array_equal(ends[cuts - 1], wanted):
+            return self._one_by_one([f" {p}" for p in pieces])
+        raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)]
+
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         cut = [space_pieces(text) for text in texts]
         rest = self.rest.learn([row for _, row in cut]).__getitem__
