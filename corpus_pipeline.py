@@ -1,20 +1,74 @@
-"""From raw documents to token ids, a stage at a time; each stage's rows are written and read back for the next."""
+"""From raw documents to token ids, a stage at a time; each stage's rows are written and read back for the next.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows it is given. All but the last return the columns of
+``documents``. A null text is junk to the classifier like an empty one; repeated rows are equal sets to the near-duplicate
+stage, which keeps one of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from ebbtide.llm import bpe
-from ebbtide.llm.workers import reachable
+from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn
+from ebbtide.llm.workers import reachable, small
 from ebbtide.sources.storage import scratch_path, through_table
 
+# Near duplicates: five words, a similarity of 0.8 or more. Signatures find every pair from 0.85 on, and the rest with
+# a probability that grows with the length of the texts.
+WORDS, PERCENT, SURE = 5, 80, 85
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    network = quality_cnn.fit(docs, reachable(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_cnn.kept(docs, network)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without recurring lines; a document that held nothing else goes."""
+    found = line_templates.drop_recurring_lines(docs)
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+        found = found.withColumn("n_chars", F.when(F.col("n_dropped") > 0, size).otherwise(F.col("n_chars")))
+    emptied = (F.col("n_dropped") > 0) & (F.trim(F.regexp_replace("text", "\\s+", " ")) == "")
+    return found.filter(~F.coalesce(emptied, F.lit(False))).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that with the smallest id."""
+    groups = ngram_join.near_duplicate_groups(docs, WORDS, PERCENT, SURE)
+    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(small(copies), "doc_id", "left_anti").select(docs.columns)
+    # Rows that repeat another in id and text are copies too.
+    again = docs.groupBy("doc_id").agg(F.count("*").alias("_rows")).filter("_rows > 1 AND doc_id IS NOT NULL")
+    again = through_table(again.select("doc_id"), scratch_path(spark, "repeated"))
+    if again.isEmpty():
+        return kept
+    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text"))
+    one = kept.join(again, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1").select(docs.columns)
+    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark passage."""
+    passages = reachable(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.clean(docs, passages)
+
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document that is left."""
     return bpe.encode(docs)
 
 
-STAGES = [("byte-level BPE", encode)]
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmark),
+    ("byte-level BPE", encode),
+]
+# Trained weights, hashed signatures and merges are beyond SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 

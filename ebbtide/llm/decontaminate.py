@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm.workers import filtered
+
 MAX_EDITS = 0.1
 REPEATS = 3
 STEPS = 48
@@ -217,6 +219,20 @@ def contaminated(
     return rows.select(F.col("id").alias(id_column), "items", (F.size("items") > 0).alias("contaminated"))
 
 
+def clean(
+    docs: DataFrame, benchmark: DataFrame, max_edits: float = MAX_EDITS, block_chars: int = BLOCK_CHARS,
+    text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
+) -> DataFrame:
+    """The documents, all columns, that hold no passage."""
+    for block in passage_blocks(benchmark, item_column, item_text, block_chars):
+        index = docs.sparkSession.sparkContext.broadcast(PassageIndex(block, max_edits))
+        docs = filtered(
+            docs, text_column,
+            lambda texts, index=index: [not found for part in _parts(texts) for found in index.value.find(part)],
+        )
+    return docs
+
+
 def _parts(texts: pa.Array) -> Iterator[list[str]]:
     """Texts in lists of bounded length, so that the arrays of their walks stay in the processor's cache."""
     part, held = [], 0

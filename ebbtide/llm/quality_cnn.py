@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm.labelled import Sample, held_out, sample
+from ebbtide.llm.workers import filtered
 
 PER_CLASS = 2000
 MAX_CHARS = 16_384
@@ -188,3 +189,12 @@ def score(
         id_column, held_out(F.col(id_column)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def kept(docs: DataFrame, network: Network | None, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
+    """The documents, all columns, that score at least ``threshold``."""
+
+    def keep(texts: pa.Array) -> list[bool]:
+        return [s >= threshold for s in score_batches(network, ((t.as_py() or "").encode() for t in texts))]
+
+    return filtered(docs, text_column, keep)

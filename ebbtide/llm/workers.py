@@ -1,12 +1,16 @@
-"""Lets Python workers that Spark starts on this machine or a shared folder import this package."""
+"""Running on a cluster: imports of the Python workers, checked broadcasts, filters that keep every column."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 1_000_000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -17,3 +21,19 @@ def reachable(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark
+
+
+def small(rows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """Narrow rows, broadcast up to a bound that is checked, else left to a shuffle join."""
+    return F.broadcast(rows) if rows.count() <= bound else rows
+
+
+def filtered(docs: DataFrame, column: str, keep: Callable[[pa.Array], list[bool]]) -> DataFrame:
+    """The rows, with all their columns, for which ``keep`` of the named column says so."""
+    place = docs.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch.column(place)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
