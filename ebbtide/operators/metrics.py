@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.hashing import cell_of, digest
 from ebbtide.functions.windows import ratio
 from ebbtide.operators.prefix import place_by_range, running_sums
+from ebbtide.sources.storage import cut_lineage
 
 CURVE_POINTS = 120
 GAINS_POINTS = 200
@@ -45,15 +46,18 @@ def score_groups(scored: DataFrame) -> DataFrame:
     )
 
 
-def rank_groups(groups: DataFrame, parts: int | None = None) -> DataFrame:
+def rank_groups(groups: DataFrame, parts: int | None = None, unit: float = 1.0) -> DataFrame:
     """Score groups with cumulative and total counts, scores descending.
 
-    Whole-number scores are basis points, hence few groups, and take one window per model and split. Fractional
-    scores may be as many as customers; they are placed in ``parts`` ranges (default: the shuffle partitions).
+    With a ``unit`` over 1, scores are whole numbers from 0 to it (basis points), hence few groups, and take one window
+    per model and split; any other value is an error. All other scores may be as many as customers: they are placed in
+    ``parts`` ranges, by default as many as the number of distinct scores calls for.
     """
-    fractional = dict(groups.dtypes)["score"] in ("double", "float")
-    if fractional:
-        parts = parts or int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if unit > 1.0:
+        fits = F.col("score").between(0, unit) & (F.col("score") == F.floor("score"))
+        wrong = F.raise_error(F.concat(F.lit(f"score outside 0..{unit:.0f}: "), F.col("score").cast("string")))
+        groups = groups.withColumn("score", F.when(fits | F.col("score").isNull(), F.col("score")).otherwise(wrong))
+    else:
         groups = place_by_range(groups, KEYS, "score", parts)
     return running_sums(groups, KEYS, "score", ["pos", "neg"], following=("pos", "neg"))
 
@@ -245,13 +249,15 @@ def positives_at_ranks(scored: DataFrame, ranked: DataFrame, first: Column, step
             (F.col("cum_pos") - F.col("pos")).alias("pos_before"),
         )
     )
-    rows = scored.withColumn("_digest", digest(F.col("customer_id"))).withColumn("_cell", cell_of(F.col("_digest")))
     group_keys = [*KEYS, "score"]
+    # Each group listed holds a wanted rank, so there are no more groups than wanted ranks. Only their rows are hashed.
+    rows = cut_lineage(
+        scored.join(F.broadcast(groups), group_keys).withColumn("_digest", digest(F.col("customer_id")))
+        .withColumn("_cell", cell_of(F.col("_digest")))
+    )
     earlier = Window.partitionBy(*group_keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
-        # Each group listed holds a wanted rank, so there are no more groups than wanted ranks.
-        rows.join(F.broadcast(groups), group_keys)
-        .groupBy(*groups.columns, "_cell")
+        rows.groupBy(*groups.columns, "_cell")
         .agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("label").cast("bigint")).alias("pos"))
         .withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)))
         .withColumn("pos_before", F.col("pos_before") + F.coalesce(F.sum("pos").over(earlier), F.lit(0)))
@@ -261,7 +267,8 @@ def positives_at_ranks(scored: DataFrame, ranked: DataFrame, first: Column, step
     inside = Window.partitionBy(*group_keys, "_cell").orderBy("_digest", "customer_id")
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.join(F.broadcast(cells), [*group_keys, "_cell"])  # again at most one cell per wanted rank
+        rows.select(*group_keys, "_cell", "_digest", "customer_id", "label")
+        .join(F.broadcast(cells), [*group_keys, "_cell"])  # again at most one cell per wanted rank
         .withColumn("rank", F.col("before") + F.row_number().over(inside))
         .withColumn("captured", F.col("pos_before") + F.sum(F.col("label").cast("bigint")).over(upto))
         .filter((F.col("rank") >= F.col("first")) & ((F.col("rank") - F.col("first")) % F.col("step") == 0))

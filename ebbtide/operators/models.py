@@ -37,11 +37,11 @@ PARAMS: dict[str, dict[str, Any]] = {
     "random_forest": {"numTrees": 100, "maxDepth": 8, "subsamplingRate": 0.8},
     "gbt": {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.8},
     "boosted_deep": {
-        "maxIter": 200, "maxDepth": 5, "stepSize": 0.03, "subsamplingRate": 0.8, "minInstancesPerNode": 40,
+        "maxIter": 1000, "maxDepth": 5, "stepSize": 0.03, "subsamplingRate": 0.8, "minInstancesPerNode": 40,
         "featureSubsetStrategy": "0.8",
     },
     "boosted_shallow": {
-        "maxIter": 200, "maxDepth": 4, "stepSize": 0.03, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
+        "maxIter": 1000, "maxDepth": 4, "stepSize": 0.03, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
     },
 }
 GRIDS: dict[str, dict[str, list[Any]]] = {
@@ -49,11 +49,11 @@ GRIDS: dict[str, dict[str, list[Any]]] = {
     "random_forest": {"maxDepth": [6, 8], "numTrees": [60, 100]},
     "gbt": {"maxDepth": [3, 5], "maxIter": [60, 120]},
 }
+REPORTED_PARAMS = ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees", "stepSize")
 FOLDS = 3
 PATIENCE = 50
 TOP_FEATURES = 15
 PARALLEL_FITS = 4
-REPORTED_PARAMS = ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees", "stepSize")
 
 MODELS = tuple(DISPLAY_NAMES)
 EARLY_STOPPED = ("boosted_deep", "boosted_shallow")
@@ -153,12 +153,13 @@ def fit_early_stopped(
 ):
     """Boosting that keeps the number of rounds with the lowest validation loss.
 
-    MLlib's own stopping rule has a tolerance but no patience. The rounds are therefore grown by doubling until the
-    loss curve, evaluated on the executors, has stood still for ``patience`` rounds, then fitted again up to the
-    best one. The same seed gives the same leading trees.
+    MLlib's own stopping rule has a tolerance but no patience. The rounds therefore start at twice the patience and
+    double until the loss curve, evaluated on the executors, has stood still for ``patience`` rounds, then the model is
+    fitted again up to the best one. The same seed gives the same leading trees. Returns the model, its rounds, and
+    whether it stopped (False: it reached ``maxIter`` first).
     """
     cap = {**PARAMS[name], **(overrides or {})}["maxIter"]
-    rounds = min(cap, 4 * patience)
+    rounds = min(cap, 2 * patience)
     while True:
         model = classifier(name, {**(overrides or {}), "maxIter": rounds}).fit(train)
         best, stopped = best_round(list(model.evaluateEachIteration(validation)), patience)
@@ -167,7 +168,7 @@ def fit_early_stopped(
         rounds = min(cap, 2 * rounds)
     if best < rounds:
         model = classifier(name, {**(overrides or {}), "maxIter": best}).fit(train)
-    return model, best
+    return model, best, stopped
 
 
 def fit(
@@ -184,8 +185,8 @@ def fit(
     started = time.monotonic()
     if name in EARLY_STOPPED:
         validation = encoded.filter(F.col("split") == "val")
-        model, best = fit_early_stopped(name, train, validation, overrides, patience)
-        params = {"best_iteration": float(best)}
+        model, best, stopped = fit_early_stopped(name, train, validation, overrides, patience)
+        params = {"best_iteration": float(best), "stopped": float(stopped)}
     else:
         if tune:
             model = grid_search(name, train, grid or GRIDS[name], overrides, folds)

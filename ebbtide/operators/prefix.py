@@ -16,10 +16,38 @@ from pyspark.sql import functions as F
 from ebbtide.sources.storage import cut_lineage
 
 PART = "_range"
+RANGE_ROWS = 1_000_000
+TASK_RANGES = 2
 
 
-def place_by_range(df: DataFrame, keys: list[str], order: str, parts: int) -> DataFrame:
+def range_count(df: DataFrame) -> int:
+    """Ranges of at most about ``RANGE_ROWS`` rows, and some for each task, so that every task has work."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(TASK_RANGES * tasks, -(-df.count() // RANGE_ROWS))
+
+
+def numbered(df: DataFrame, *order, name: str = "position") -> DataFrame:
+    """Adds the place of each row in an order over all rows, from 1; ``order`` should leave no ties.
+
+    Rows are placed by range and sorted there; one row per range is broadcast back with the count of those before it.
+    """
+    df = cut_lineage(df)
+    placed = df.repartitionByRange(range_count(df), *order).sortWithinPartitions(*order)
+    placed = cut_lineage(placed.withColumn("_at", F.monotonically_increasing_id()))
+    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).select(
+        "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_start")
+    )
+    found = placed.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return found.withColumn(name, F.col("_start") + inside + 1).select(*df.columns, name)
+
+
+def place_by_range(df: DataFrame, keys: list[str], order: str, parts: int | None = None) -> DataFrame:
     """Rows in ``parts`` ranges of (keys, order descending), the range number in ``_range``."""
+    if parts is None:
+        df = cut_lineage(df)
+        parts = range_count(df)
     placed = df.repartitionByRange(parts, *keys, F.col(order).desc()).withColumn(PART, F.spark_partition_id())
     return cut_lineage(placed)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.buckets import BASIS, basis_points, capped_count, probability_bin, readable_feature, tenure_bucket
 from ebbtide.functions.windows import ratio
+from ebbtide.operators.prefix import numbered
 from ebbtide.spec import BANDS, CATEGORICAL
 
 # Columns of the customer list and the features of the behaviour report.
@@ -22,6 +23,7 @@ BEHAVIOUR_FEATURES = (
     "cancellation_inquiries",
 )
 LIST_SIZE = 1000
+BINS = 40
 
 
 def _count() -> Column:
@@ -51,7 +53,10 @@ def band_rollup(scores: DataFrame) -> DataFrame:
 
 
 def probability_histogram(scores: DataFrame) -> DataFrame:
-    return scores.groupBy(probability_bin(F.col("churn_probability")).alias("bin")).agg(_count().alias("n"))
+    """All bins have a row, empty ones with 0."""
+    found = scores.groupBy(probability_bin(F.col("churn_probability")).alias("bin")).agg(_count().alias("n"))
+    bins = scores.sparkSession.range(BINS).select(F.col("id").cast("int").alias("bin"))
+    return bins.join(found, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def segment_rollup(scores: DataFrame, segments: tuple[str, ...] = CATEGORICAL) -> DataFrame:
@@ -98,8 +103,9 @@ def customer_list(matches: DataFrame, size: int = LIST_SIZE) -> DataFrame:
 
 
 def list_export(matches: DataFrame) -> DataFrame:
-    """All matches with the list's columns, for the CSV sink."""
-    return matches.select(*LIST_COLUMNS)
+    """All matches with the list's columns and their place in it, the riskiest first, for the CSV sink."""
+    order = (F.desc("churn_probability"), F.asc("customer_id"))
+    return numbered(matches.select(*LIST_COLUMNS), *order)
 
 
 def list_summary(matches: DataFrame) -> DataFrame:
@@ -111,9 +117,12 @@ def customer_lookup(scores: DataFrame, customer_id: str) -> DataFrame:
     return scores.filter(F.upper(F.col("customer_id").cast("string")) == customer_id.strip().upper())
 
 
-def model_scores_long(scores: DataFrame, models: list[str]) -> DataFrame:
+def model_scores_long(scores: DataFrame, models: list[str], names: dict[str, str] | None = None) -> DataFrame:
+    """A row per customer and model; ``names`` are the models' display names, where they have one."""
     long = scores.unpivot(["customer_id"], [f"prob_{m}" for m in models], "column", "probability")
-    return long.select("customer_id", F.replace("column", F.lit("prob_"), F.lit("")).alias("model"), "probability")
+    shown = F.array(*[F.struct(F.lit(f"prob_{m}"), F.lit((names or {}).get(m, m))) for m in models])
+    model = F.element_at(F.map_from_entries(shown), F.col("column"))
+    return long.select("customer_id", model.alias("model"), "probability")
 
 
 def rate_by_behaviour(scores: DataFrame, features: tuple[str, ...] = BEHAVIOUR_FEATURES) -> DataFrame:

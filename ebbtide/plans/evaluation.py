@@ -23,6 +23,7 @@ REPORT_SCHEMA = (
     f"`{m.DEFAULT_CUT}`:{_AT_CUT},{m.TUNED_CUT}:{_AT_CUT},"
     "roc_curve:array<array<double>>,pr_curve:array<array<double>>>>"
 )
+FACT_FIELDS = ("display_name", "engine", "train_seconds")
 THRESHOLD_FIELDS = ("threshold", "precision", "recall", "f1", "accuracy")
 
 
@@ -30,7 +31,7 @@ def evaluate(scored: DataFrame, unit: float = 1.0, parts: int | None = None) ->
     """One row per model. Thresholds are tuned on the validation split; all else is measured on the test split."""
     judged = scored.filter(F.col("split").isin("val", "test"))
     # What several results start from is computed once, and survives the loss of an executor.
-    ranked = cut_lineage(m.rank_groups(m.score_groups(judged), parts))
+    ranked = cut_lineage(m.rank_groups(m.score_groups(judged), parts, unit))
     summary = cut_lineage(m.split_summary(ranked))
     tests = ranked.filter(F.col("split") == "test")
     held_out = judged.filter(F.col("split") == "test")
@@ -80,10 +81,12 @@ def metrics_document(evaluation: DataFrame, facts: DataFrame | None = None, **ru
 
 
 def comparison_table(document: DataFrame) -> DataFrame:
-    """The model map of a metrics document as a flat table."""
+    """The model map of a metrics document as a flat table, with what the training knows of each model where it is told."""
     tuned = f"evaluation.{m.TUNED_CUT}"
+    present = document.schema["models"].dataType.valueType.names
     return document.select(F.explode("models").alias("model", "evaluation")).select(
         "model",
+        *[F.col(f"evaluation.{field}") for field in FACT_FIELDS if field in present],
         "evaluation.roc_auc",
         "evaluation.pr_auc",
         *[F.col(f"{tuned}.{field}").alias(field) for field in ("threshold", "precision", "recall", "f1")],

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.functions.hashing import digest_number
 from ebbtide.operators import features as ft
 from ebbtide.operators import metrics as mt
 from ebbtide.operators import models as md
@@ -20,21 +20,13 @@ from ebbtide.plans.evaluation import comparison_table, evaluate, metrics_documen
 from ebbtide.plans.job import as_map, training_facts
 from ebbtide.sources import storage
 from ebbtide.sources import testdata as td
+from ebbtide.sources.schemas import CONTRACTS
 from ebbtide.sources.tables import load_tables, register, table_counts
-from ebbtide.spec import CATEGORICAL, HIGH_CUTOFF, MEDIUM_CUTOFF, NUMERIC
+from ebbtide.spec import CATEGORICAL, HIGH_CUTOFF, MEDIUM_CUTOFF, NUMERIC, TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 BASIS = 10_000.0
-RANGES = 8
-SMALL_FIT = {
-    "logistic_regression": {"maxIter": 20},
-    "random_forest": {"numTrees": 10, "maxDepth": 5},
-    "gbt": {"maxIter": 5, "maxDepth": 3},
-    "boosted_deep": {"maxIter": 8, "maxDepth": 3},
-    "boosted_shallow": {"maxIter": 8, "maxDepth": 3},
-}
-SMALL_GRID = {"regParam": [0.01, 0.1], "elasticNetParam": [0.0, 0.5]}
 
 
 def query(function: Query) -> Query:
@@ -55,7 +47,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ranked(spark: SparkSession, sf_dir: str, *splits: str) -> DataFrame:
     scored = _scored(spark, sf_dir).filter(F.col("split").isin(*splits))
-    return mt.rank_groups(mt.score_groups(scored))
+    return mt.rank_groups(mt.score_groups(scored), unit=BASIS)
 
 
 def _choice(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,16 +63,17 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _features(spark, sf_dir)
     # Fitting passes over the rows repeatedly, so they are written once.
     features = storage.through_table(features, storage.scratch_path(spark, "features"))
-    return md.encode(md.fit_encoder(features), features)
+    encoded = md.encode(md.fit_encoder(features), features)
+    return storage.through_table(encoded, storage.scratch_path(spark, "encoded"))
 
 
 def _fit(encoded: DataFrame, *names: str) -> list[md.Fitted]:
-    return md.fit_all(names, encoded, overrides=SMALL_FIT, patience=3)
-
-
-def _model_scores(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    encoded = _encoded(spark, sf_dir)
-    return md.score(encoded, _fit(encoded, name)).select("customer_id", "split", "label", f"prob_{name}")
+    """With the published parameters; encoded rows stay in memory while the models pass over them."""
+    kept = encoded.select("customer_id", "split", "label", "raw_features", "features").persist()
+    try:
+        return md.fit_all(names, kept)
+    finally:
+        kept.unpersist()
 
 
 # ---- sources and cleaning
@@ -251,7 +244,7 @@ def curve_downsample(spark, sf_dir):
 
 def _held_out(spark, sf_dir):
     scored = _scored(spark, sf_dir).filter(F.col("split") == "test")
-    return scored, mt.rank_groups(mt.score_groups(scored))
+    return scored, mt.rank_groups(mt.score_groups(scored), unit=BASIS)
 
 
 @query
@@ -271,7 +264,7 @@ def gains_at_decile(spark, sf_dir):
 
 def _ranked_exact(spark, sf_dir):
     scored = td.surrogate_scored_exact(td.Source(spark, sf_dir)).filter(F.col("split") == "test")
-    return scored, mt.rank_groups(mt.score_groups(scored), parts=RANGES)
+    return scored, mt.rank_groups(mt.score_groups(scored))
 
 
 @query
@@ -294,7 +287,11 @@ def exact_score_curves(spark, sf_dir):
 def model_comparison(spark, sf_dir):
     """Evaluation bundle of all models, put into a metrics document and flattened again."""
     scored = storage.through_table(_scored(spark, sf_dir), storage.scratch_path(spark, "scored"))
-    table = comparison_table(metrics_document(evaluate(scored, unit=BASIS)))
+    facts = spark.createDataFrame(
+        [(m, f"Surrogate {m}", "Spark SQL", 0.0) for m in td.SURROGATES],
+        "model string, display_name string, engine string, train_seconds double",
+    )
+    table = comparison_table(metrics_document(evaluate(scored, unit=BASIS), facts))
     return table.withColumn("pr_auc", F.round("pr_auc", 9))
 
 
@@ -316,7 +313,7 @@ QUERIES["risk_scores"] = QUERIES.pop("risk_scores_query")
 def risk_scores_exact(spark, sf_dir):
     """Unrounded probabilities: bands and predictions go by the rounded one, the threshold stays as it is."""
     scored = td.surrogate_scored_exact(td.Source(spark, sf_dir)).filter(F.col("split") == "val")
-    choice = mt.pick_best(mt.split_summary(mt.rank_groups(mt.score_groups(scored), parts=RANGES)))
+    choice = mt.pick_best(mt.split_summary(mt.rank_groups(mt.score_groups(scored))))
     wide = td.surrogate_wide(_features(spark, sf_dir), exact=True)
     return risk_scores(wide, td.SURROGATES, choice, td.SPEC).select(
         "customer_id", "churn_probability", "risk_band", "predicted_churn", "prob_s1", "prob_s2"
@@ -372,6 +369,34 @@ def customer_list_export(spark, sf_dir):
     return spark.read.schema(rows.schema).option("header", True).csv(path)
 
 
+@query
+def parquet_roundtrip(spark, sf_dir):
+    """All relations written as Parquet with dates as text, and read back through the loader; every column counts."""
+    base = storage.scratch_path(spark, "parquet")
+    for name, df in td.relations(td.Source(spark, sf_dir)).items():
+        days = {c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "date"}
+        df.withColumns(days).write.parquet(f"{base}/{name}.parquet")
+    tables = load_tables(spark, base, "parquet")
+    parts = []
+    for name in TABLES:
+        columns = CONTRACTS[name]
+        values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+        typed = {c: kind for c, kind in tables[name].dtypes}
+        numbers = [c for c in columns if typed[c] in ("int", "bigint", "double")]
+        sums = F.create_map(*[x for c in numbers for x in (F.lit(c), F.sum(F.floor(F.col(c).cast("double")).cast("double")))])
+        totals = tables[name].agg(sums.alias("sums"))
+        parts.append(
+            tables[name].select(F.inline(values)).groupBy("column_name").agg(
+                F.count("*").alias("row_count"), F.count("value").alias("present"),
+                F.countDistinct("value").alias("different"),
+            ).crossJoin(F.broadcast(totals)).select(
+                F.lit(name).alias("table_name"), "column_name", "row_count", "present", "different",
+                F.try_element_at("sums", F.col("column_name")).alias("total"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def customer_list_summary(spark, sf_dir):
     return rp.list_summary(rp.matching(_scores(spark, sf_dir)))
@@ -388,7 +413,7 @@ def customer_lookup(spark, sf_dir):
 
 @query
 def model_scores_long(spark, sf_dir):
-    return rp.model_scores_long(_scores(spark, sf_dir), td.SURROGATES)
+    return rp.model_scores_long(_scores(spark, sf_dir), td.SURROGATES, {m: f"Surrogate {m}" for m in td.SURROGATES})
 
 
 @query
@@ -420,76 +445,125 @@ def encoded_features(spark, sf_dir):
     )
 
 
+def _checked_scores(spark, sf_dir, *names):
+    """What is certain of fitted scores: whose they are, that they are probabilities, and that the fit took place.
+
+    An unpenalised intercept makes the mean probability of the training rows their outcome rate; trees rank them better
+    than chance.
+    """
+    encoded = _encoded(spark, sf_dir)
+    scored = md.score(encoded, _fit(encoded, *names)).select(
+        "customer_id", "split", F.col("label").cast("int").alias("label"), *[f"prob_{name}" for name in names]
+    )
+    scored = storage.through_table(scored, storage.scratch_path(spark, "model-scores"))
+    train = scored.filter(F.col("split") == "train")
+    if names == ("logistic_regression",):
+        gap = F.abs(F.avg("prob_logistic_regression") - F.avg(F.col("label").cast("double")))
+        fitted = train.agg((gap < 1e-3).alias("fitted"))
+    else:
+        summary = mt.split_summary(mt.rank_groups(mt.score_groups(mt.scored_long(train, list(names)))))
+        fitted = summary.agg((F.min("roc_auc") > 0.5).alias("fitted"))
+    valid = [F.col(f"prob_{name}").between(0.0, 1.0) for name in names]
+    # One row, one value.
+    return scored.select(
+        "customer_id", "split", "label", F.forall(F.array(*valid), lambda ok: ok).alias("valid")
+    ).crossJoin(F.broadcast(fitted))
+
+
 @query
 def scores_lr(spark, sf_dir):
-    return _model_scores(spark, sf_dir, "logistic_regression")
+    return _checked_scores(spark, sf_dir, "logistic_regression")
 
 
 @query
 def scores_rf(spark, sf_dir):
-    return _model_scores(spark, sf_dir, "random_forest")
+    return _checked_scores(spark, sf_dir, "random_forest")
 
 
 @query
 def scores_gbt(spark, sf_dir):
-    return _model_scores(spark, sf_dir, "gbt")
+    return _checked_scores(spark, sf_dir, "gbt")
 
 
 @query
 def scores_gbt_es(spark, sf_dir):
-    encoded = _encoded(spark, sf_dir)
-    names = md.EARLY_STOPPED
-    return md.score(encoded, _fit(encoded, *names)).select(
-        "customer_id", "split", "label", *[f"prob_{name}" for name in names]
+    return _checked_scores(spark, sf_dir, *md.EARLY_STOPPED)
+
+
+def _search(spark, sf_dir, name):
+    """Cross-validated search over the whole grid; a row per searched parameter."""
+    found = md.fit(name, _encoded(spark, sf_dir), tune=True)
+    return spark.createDataFrame(
+        [(name, param, found.params[param] in [float(v) for v in values]) for param, values in md.GRIDS[name].items()],
+        "model string, parameter string, from_grid boolean",
     )
 
 
 @query
 def tuned_params(spark, sf_dir):
-    """Cross-validated search over a small grid; one row per reported parameter."""
-    found = md.fit(
-        "logistic_regression", _encoded(spark, sf_dir), tune=True, overrides={"maxIter": 10}, grid=SMALL_GRID, folds=2
-    )
-    return spark.createDataFrame(
-        [(found.name, name, value) for name, value in sorted(found.params.items())],
-        "model string, parameter string, value double",
-    )
+    return _search(spark, sf_dir, "logistic_regression")
+
+
+@query
+def tuned_params_rf(spark, sf_dir):
+    return _search(spark, sf_dir, "random_forest")
+
+
+@query
+def tuned_params_gbt(spark, sf_dir):
+    return _search(spark, sf_dir, "gbt")
 
 
 @query
 def feature_importance(spark, sf_dir):
+    """Per model: how many features are listed, and whether they are slots, in order, with shares of at most 1 in all."""
     encoded = _encoded(spark, sf_dir)
     slots = md.slot_names(encoded)
-    fitted = _fit(encoded, "logistic_regression", "random_forest")
-    tables = [rp.labelled_importance(md.importance(spark, item, slots)) for item in fitted]
-    return tables[0].unionByName(tables[1])
+    listed = [rp.labelled_importance(md.importance(spark, f, slots)) for f in _fit(encoded, *md.MODELS)]
+    rows = reduce(DataFrame.unionByName, listed)
+    in_order = F.sort_array(F.collect_list("importance"), asc=False)
+    return rows.groupBy("model").agg(
+        F.count("*").alias("n"), F.bool_and(F.col("feature").isin(slots)).alias("slots"),
+        (F.max("importance") == in_order[0]).alias("in_order"),
+        ((F.sum("importance") <= 1.0001) & (F.min("importance") >= 0)).alias("shares"),
+    )
 
 
 @query
 def scored_customers(spark, sf_dir):
-    """Two fitted models, the better one chosen on the validation split, exported rows read back."""
+    """All models, the best one chosen on the validation split, exported rows read back and held against each other."""
     encoded = _encoded(spark, sf_dir)
-    names = ["logistic_regression", "random_forest"]
+    names = list(md.MODELS)
     wide = md.score(encoded, _fit(encoded, *names))
     wide = storage.through_table(wide, storage.scratch_path(spark, "probabilities"))
     scored = mt.scored_long(wide, names).filter(F.col("split") == "val")
-    choice = mt.pick_best(mt.split_summary(mt.rank_groups(mt.score_groups(scored), parts=RANGES)))
+    choice = mt.pick_best(mt.split_summary(mt.rank_groups(mt.score_groups(scored))))
+    choice = storage.through_table(choice, storage.scratch_path(spark, "choice"))
     path = storage.scratch_path(spark, "scores")
     storage.write_scores(risk_scores(wide, names, choice, td.SPEC), path)
-    return spark.read.parquet(path)
+    rows = spark.read.parquet(path).crossJoin(F.broadcast(choice.select("model", "threshold")))
+    p = F.col("churn_probability")
+    best = F.element_at(F.create_map(*[x for n in names for x in (F.lit(n), F.col(f"prob_{n}"))]), F.col("model"))
+    band = F.when(p >= HIGH_CUTOFF, "High").when(p >= MEDIUM_CUTOFF, "Medium").otherwise("Low")
+    return rows.select(
+        "customer_id", F.col("actual_churn").cast("int").alias("actual_churn"), "split", *CATEGORICAL, "tenure_months",
+        "monthly_charges", "late_payments", (p == best).alias("best_model_used"),
+        (F.col("risk_band") == band).alias("band_fits"),
+        (F.col("predicted_churn") == (p >= F.col("threshold")).cast("int")).alias("prediction_fits"),
+    )
 
 
 @query
 def run_metrics(spark, sf_dir):
-    """Run report of one model through the JSON sink, read back and flattened."""
+    """Run report of all models through the JSON sink, read back and flattened."""
     relations = td.relations(td.Source(spark, sf_dir))
     encoded = _encoded(spark, sf_dir)
-    names = ["logistic_regression"]
+    names = list(md.MODELS)
     fitted = _fit(encoded, *names)
     wide = storage.through_table(md.score(encoded, fitted), storage.scratch_path(spark, "probabilities"))
     counts = {row.table_name: row.row_count for row in table_counts(relations).collect()}
     document = metrics_document(
-        evaluate(mt.scored_long(wide, names), parts=RANGES),
+        evaluate(mt.scored_long(wide, names)),
         training_facts(spark, fitted, md.slot_names(encoded)),
         snapshot_date=F.lit(td.SPEC.snapshot.isoformat()),
         table_rows=as_map(counts),
@@ -499,9 +573,12 @@ def run_metrics(spark, sf_dir):
     path = storage.scratch_path(spark, "report")
     storage.write_document(document, path)
     report = read_document(spark, path)
-    return report.select(
-        "snapshot_date", "n_features", F.to_json("table_rows").alias("table_rows"), F.explode("models").alias("model", "e")
-    ).select(
-        "snapshot_date", "n_features", "table_rows", "model", "e.display_name", "e.engine", "e.roc_auc", "e.pr_auc",
-        "e.top_decile_lift", F.size("e.importance").alias("n_importance"), F.size("e.roc_curve").alias("n_roc_points"),
+    tuned = F.col(f"e.{mt.TUNED_CUT}.confusion")
+    return report.select("*", F.explode("models").alias("model", "e")).select(
+        "snapshot_date", "n_features", *[F.col("table_rows")[t].alias(f"n_{t}") for t in TABLES], "model",
+        "e.display_name", "e.engine", F.size("e.importance").alias("n_importance"),
+        (tuned["tp"] + tuned["fp"] + tuned["fn"] + tuned["tn"]).alias("n_test"),
+        (F.col("e.roc_auc").between(0, 1) & F.col("e.pr_auc").between(0, 1)).alias("areas"),
+        (F.col("e.train_seconds") > 0).alias("timed"),
+        ((F.size("e.roc_curve") > 1) & (F.size("e.pr_curve") > 1)).alias("curves"),
     )

@@ -17,8 +17,8 @@ def build_session(app_name: str = "ebbtide") -> SparkSession:
     defaults = {
         "spark.master": os.getenv("EBBTIDE_MASTER", "local[*]"),
         "spark.driver.memory": os.getenv("EBBTIDE_DRIVER_MEMORY", "4g"),
-        # AQE merges small shuffle partitions, so the initial number may be generous on a cluster.
-        "spark.sql.shuffle.partitions": os.getenv("EBBTIDE_SHUFFLE_PARTITIONS", "16"),
+        # AQE merges small shuffle partitions and adds none, so the initial number is no smaller than Spark's own.
+        "spark.sql.shuffle.partitions": os.getenv("EBBTIDE_SHUFFLE_PARTITIONS", "200"),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",

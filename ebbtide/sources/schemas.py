@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +52,9 @@ RAW_CUSTOMER_SCHEMA = T.StructType(
     ]
 )
 
+# The day of an event, by which the observation window is cut.
+EVENT_DAYS = ("month", "due_date", "created_date", "call_date")
+
 _NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _ACCEPTED = {
@@ -67,6 +72,17 @@ class SchemaError(ValueError):
     """A relation does not fulfil its contract."""
 
 
+def text_days(df: DataFrame, first_after: date, last: date) -> DataFrame:
+    """Rows whose text dates (``YYYY-MM-DD``) can lie in (first_after, last]; a filter that Parquet readers understand.
+
+    Only event dates of histories are looked at. Text in another form is kept: it sorts outside digits or is longer.
+    """
+    for name in EVENT_DAYS:
+        if name in df.columns and isinstance(df.schema[name].dataType, T.StringType):
+            df = df.filter((F.col(name) > first_after.isoformat()) & (F.col(name) < (last + timedelta(1)).isoformat()))
+    return df
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Check a relation against its contract, then give each contract column its type.
 

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.sources.schemas import conform, csv_schema
-from ebbtide.spec import TABLES
+from ebbtide.sources.schemas import EVENT_DAYS, conform, csv_schema, text_days
+from ebbtide.spec import TABLES, ObservationSpec
 
 Tables = dict[str, DataFrame]
+MONTH = "event_month"  # years * 12 + months
 
 
 def load_tables(
@@ -19,11 +20,13 @@ def load_tables(
     base_uri: str | None = None,
     fmt: str | None = None,
     id_type: str = "string",
+    observed: ObservationSpec | None = None,
 ) -> Tables:
     """Read ``{base_uri}/{table}.{fmt}`` for each table, check it and register a temp view of that name.
 
     ``base_uri`` is anything the Hadoop file system layer resolves (hdfs://, s3a://, a local folder).
-    ``id_type`` matters for CSV alone; typed formats bring their own.
+    ``id_type`` matters for CSV alone; typed formats bring their own. With ``observed``, text dates of histories are
+    cut to its window before they get their type, so that the scan can skip what lies outside.
     """
     base = (base_uri or os.environ["EBBTIDE_RAW_URI"]).rstrip("/")
     fmt = fmt or os.getenv("EBBTIDE_RAW_FORMAT", "parquet")
@@ -34,7 +37,12 @@ def load_tables(
             return _read_csv(spark, path, table, id_type)
         return spark.read.format(fmt).load(path)
 
-    return register({table: conform(read(table), table) for table in TABLES})
+    def windowed(table: str) -> DataFrame:
+        if observed is None:
+            return read(table)
+        return text_days(read(table), observed.first_day_before, observed.snapshot)
+
+    return register({table: conform(windowed(table), table) for table in TABLES})
 
 
 def _read_csv(spark: SparkSession, path: str, table: str, id_type: str) -> DataFrame:
@@ -53,19 +61,31 @@ def read_raw_customers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def load_catalog(spark: SparkSession, database: str) -> Tables:
-    """The same relations from catalog tables, e.g. of a Hive metastore."""
-    return register({table: conform(spark.table(f"{database}.{table}"), table) for table in TABLES})
+def load_catalog(spark: SparkSession, database: str, observed: ObservationSpec | None = None) -> Tables:
+    """The same relations from catalog tables, e.g. of a Hive metastore; with ``observed``, of its months alone."""
+
+    def read(table: str) -> DataFrame:
+        rows = spark.table(f"{database}.{table}")
+        if observed is not None and MONTH in rows.columns:
+            first, last = (day.year * 12 + day.month for day in (observed.first_day_before, observed.snapshot))
+            rows = rows.filter(F.col(MONTH).between(first, last))
+        return conform(rows, table)
+
+    return register({table: read(table) for table in TABLES})
 
 
 def publish_catalog(tables: Tables, database: str, buckets: int) -> None:
-    """Save the relations bucketed by customer, so that later aggregations and joins need no shuffle."""
+    """Save the relations bucketed by customer, so that later aggregations and joins need no shuffle.
+
+    Histories are partitioned by the month of the event, so that a run reads the months it observes.
+    """
     for name, df in tables.items():
-        (
-            df.write.mode("overwrite").format("parquet")
-            .bucketBy(buckets, "customer_id").sortBy("customer_id")
-            .saveAsTable(f"{database}.{name}")
-        )
+        day = next((c for c in EVENT_DAYS if c in df.columns), None)
+        if day:
+            df = df.withColumn(MONTH, (F.year(day) * 12 + F.month(day)).cast("int"))
+        writer = df.write.mode("overwrite").format("parquet")
+        writer = writer.partitionBy(MONTH) if day else writer
+        writer.bucketBy(buckets, "customer_id").sortBy("customer_id").saveAsTable(f"{database}.{name}")
 
 
 def register(tables: Tables) -> Tables:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from dataclasses import dataclass
 from datetime import date
 
@@ -55,3 +56,10 @@ class ObservationSpec:
     obs_months: int = 6
     recent_months: int = 3
     recent_days: int = 30
+
+    @property
+    def first_day_before(self) -> date:
+        """The last day before the window: the snapshot's day ``obs_months`` earlier, or the end of a shorter month."""
+        months = self.snapshot.year * 12 + self.snapshot.month - 1 - self.obs_months
+        year, month = months // 12, months % 12 + 1
+        return date(year, month, min(self.snapshot.day, monthrange(year, month)[1]))

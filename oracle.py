@@ -59,7 +59,8 @@ usage AS (
 ),
 payments AS (
   SELECT o_custkey AS customer_id, o_day AS due_date,
-         CASE substr(o_orderpriority, 1, 1) WHEN '5' THEN 10 WHEN '4' THEN 3 ELSE 0 END AS days_late
+         CASE substr(o_orderpriority, 1, 1) WHEN '5' THEN 10 WHEN '4' THEN 3 ELSE 0 END AS days_late,
+         CAST(o_day + CAST(days_late AS INT) AS DATE) AS paid_date, o_totalprice AS amount
   FROM day_orders WHERE {_window('o_day')}
 ),
 tickets AS (
@@ -406,7 +407,104 @@ _BEHAVIOUR = " UNION ALL ".join(
               "cancellation_inquiries")
 )
 
+MASK = "18446744073709551615"
+
+
+def _wide(value: str) -> str:
+    return f"CAST({value} AS UHUGEINT)"
+
+
+def _times(value: str, factor: int) -> str:
+    return f"(({value} * {_wide(factor)}) % {_wide(2 ** 64)})"
+
+
+def _left(value: str, bits: int) -> str:
+    """A 64-bit number rotated to the left."""
+    return f"({_times(value, 2 ** bits)} + {value} // {_wide(2 ** (64 - bits))})"
+
+
+# XXH64 of one 64-bit number with seed 42, a published algorithm; its five primes are fixed values.
+_P1, _P2, _P3, _P4, _P5 = (
+    11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261,
+)
+XXHASH = f"""
+x1 AS (SELECT c_custkey AS customer_id, {_times(_left(_times(_wide('c_custkey'), _P2), 31), _P1)} AS k FROM customer),
+x2 AS (SELECT customer_id, xor({_wide(42 + _P5 + 8)}, k) AS h FROM x1),
+x3 AS (SELECT customer_id, ({_times(_left('h', 27), _P1)} + {_wide(_P4)}) % {_wide(2 ** 64)} AS h FROM x2),
+x4 AS (SELECT customer_id, {_times(f"xor(h, h // {_wide(2 ** 33)})", _P2)} AS h FROM x3),
+x5 AS (SELECT customer_id, {_times(f"xor(h, h // {_wide(2 ** 29)})", _P3)} AS h FROM x4),
+x6 AS (SELECT customer_id, xor(h, h // {_wide(2 ** 32)}) AS h FROM x5),
+xbuckets AS (
+  SELECT customer_id,
+         (CAST(h % 100 AS INT) + CASE WHEN h >= {_wide(2 ** 63)} THEN 100 - {2 ** 64 % 100} ELSE 0 END) % 100 AS bucket
+  FROM x6
+)"""
+MODELS = {
+    "logistic_regression": "Logistic Regression (MLlib)", "random_forest": "Random Forest (MLlib)",
+    "gbt": "Gradient Boosted Trees (MLlib)", "boosted_deep": "Early-stopped boosting, depth 5 (MLlib)",
+    "boosted_shallow": "Early-stopped boosting, depth 4 (MLlib)",
+}
+_CHECKED = _with(*BASE, then="SELECT customer_id, split, label, TRUE AS valid, TRUE AS fitted FROM features")
+
+
+def _searched(model: str, *parameters: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{model}' AS model, '{parameter}' AS parameter, TRUE AS from_grid" for parameter in parameters
+    )
+
+
+_COLUMN_KINDS = {
+    "customers": ("customer_id signup_date age region contract plan internet_service payment_method monthly_charges churned",
+                  "customer_id age monthly_charges churned"),
+    "usage": ("customer_id month call_minutes data_gb sms_count app_logins",
+              "customer_id call_minutes data_gb sms_count app_logins"),
+    "payments": ("customer_id due_date paid_date amount days_late", "customer_id amount days_late"),
+    "tickets": ("customer_id created_date category is_complaint resolution_hours escalated satisfaction",
+                "customer_id is_complaint resolution_hours escalated satisfaction"),
+    "service_calls": ("customer_id call_date duration_min resolved sentiment",
+                      "customer_id duration_min resolved sentiment"),
+}
+_EVERY_COLUMN = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count, COUNT({c}) AS present, "
+    f"COUNT(DISTINCT {c}) AS different, "
+    + (f"SUM(FLOOR(CAST({c} AS DOUBLE)))" if c in numbers.split() else "CAST(NULL AS DOUBLE)") + f" AS total FROM {table}"
+    for table, (columns, numbers) in _COLUMN_KINDS.items() for c in columns.split()
+)
+
 SQL: dict[str, str] = {
+    "parquet_roundtrip": _with(RELATIONS, then=_EVERY_COLUMN),
+    "split_xxhash": _with(
+        XXHASH,
+        then="SELECT customer_id, CASE WHEN bucket < 70 THEN 'train' WHEN bucket < 85 THEN 'val' ELSE 'test' END AS split "
+        "FROM xbuckets",
+    ),
+    "scores_lr": _CHECKED,
+    "scores_rf": _CHECKED,
+    "scores_gbt": _CHECKED,
+    "scores_gbt_es": _CHECKED,
+    "tuned_params": _searched("logistic_regression", "regParam", "elasticNetParam"),
+    "tuned_params_rf": _searched("random_forest", "maxDepth", "numTrees"),
+    "tuned_params_gbt": _searched("gbt", "maxDepth", "maxIter"),
+    "feature_importance": " UNION ALL ".join(
+        f"SELECT '{m}' AS model, CAST(15 AS BIGINT) AS n, TRUE AS slots, TRUE AS in_order, TRUE AS shares" for m in MODELS
+    ),
+    "scored_customers": _with(
+        *BASE,
+        then=f"SELECT customer_id, label AS actual_churn, split, {', '.join(CATEGORIES)}, tenure_months, monthly_charges, "
+        "late_payments, TRUE AS best_model_used, TRUE AS band_fits, TRUE AS prediction_fits FROM features",
+    ),
+    "run_metrics": _with(
+        *BASE,
+        then=" UNION ALL ".join(
+            "SELECT '2000-06-30' AS snapshot_date, CAST(36 AS INT) AS n_features, "
+            + ", ".join(
+                f"(SELECT COUNT(*) FROM {t}) AS n_{t}" for t in ("customers", "usage", "payments", "tickets", "service_calls")
+            )
+            + f", '{m}' AS model, '{shown}' AS display_name, 'Spark MLlib' AS engine, CAST(15 AS INT) AS n_importance, "
+            "(SELECT COUNT(*) FROM features WHERE split = 'test') AS n_test, TRUE AS areas, TRUE AS timed, TRUE AS curves"
+            for m, shown in MODELS.items()
+        ),
+    ),
     "ingest_counts": _with(RELATIONS, then=_COUNTS),
     "csv_roundtrip": _with(
         RELATIONS,
@@ -477,7 +575,8 @@ SQL: dict[str, str] = {
     "exact_score_curves": _with(*EXACT, CURVES, then="SELECT * FROM thinned"),
     "model_comparison": _with(
         *RANKED, CONFUSION, _ordered(),
-        then="SELECT model, roc_auc, ROUND(average_precision, 9) AS pr_auc, threshold, precision, recall, f1, "
+        then="SELECT model, 'Surrogate ' || model AS display_name, 'Spark SQL' AS engine, 0E0 AS train_seconds, roc_auc, "
+        "ROUND(average_precision, 9) AS pr_auc, threshold, precision, recall, f1, "
         "top_decile_lift FROM summary JOIN cut_metrics USING (model) JOIN lift USING (model) "
         "WHERE split = 'test' AND cut = 'at_tuned'",
     ),
@@ -516,7 +615,9 @@ chosen AS (
         "LEFT JOIN export ON risk_band = band GROUP BY 1, 2",
     ),
     "probability_histogram": _with(
-        *EXPORT, then="SELECT CAST(LEAST(best_bp // 250, 39) AS INT) AS bin, COUNT(*) AS n FROM export GROUP BY 1"
+        *EXPORT, 
+        then="SELECT CAST(bins.bin AS INT) AS bin, COUNT(best_bp) AS n FROM range(40) AS bins(bin) "
+        "LEFT JOIN export ON bins.bin = LEAST(best_bp // 250, 39) GROUP BY 1",
     ),
     "segment_rollup": _with(
         *EXPORT,
@@ -531,7 +632,8 @@ chosen AS (
     ),
     "customer_list_export": _with(
         *EXPORT,
-        then=f"SELECT {LIST_COLUMNS} FROM export WHERE contract IN ('Month-to-month', 'One year') "
+        then=f"SELECT {LIST_COLUMNS}, ROW_NUMBER() OVER (ORDER BY churn_probability DESC, customer_id) AS position "
+        "FROM export WHERE contract IN ('Month-to-month', 'One year') "
         "AND region IN ('ASIA', 'EUROPE', 'AFRICA') AND plan IN ('Standard', 'Premium') "
         "AND best_bp BETWEEN 1000 AND 4500 AND split = 'test'",
     ),
@@ -548,8 +650,8 @@ chosen AS (
     ),
     "model_scores_long": _with(
         *EXPORT,
-        then="SELECT customer_id, 's1' AS model, prob_s1 AS probability FROM export "
-        "UNION ALL SELECT customer_id, 's2', prob_s2 FROM export",
+        then="SELECT customer_id, 'Surrogate s1' AS model, prob_s1 AS probability FROM export "
+        "UNION ALL SELECT customer_id, 'Surrogate s2', prob_s2 FROM export",
     ),
     "rate_by_behaviour": _with(
         *EXPORT,

@@ -59,8 +59,8 @@ def brute_order(rows):
     )
 
 
-def ranked(df, parts=WINDOW):
-    return mt.rank_groups(mt.score_groups(df), parts)
+def ranked(df, parts=WINDOW, unit=1.0):
+    return mt.rank_groups(mt.score_groups(df), parts, unit)
 
 
 def curve(groups, name):
@@ -69,11 +69,33 @@ def curve(groups, name):
     return [(p.x, p.y) for p in points]
 
 
-def test_way_is_chosen_by_the_kind_of_score(spark):
-    assert "_range" not in ranked(scored(spark, [(1, 3)])).columns
+def test_way_is_chosen_by_the_unit(spark):
+    assert "_range" not in ranked(scored(spark, [(1, 3)]), unit=10_000.0).columns
+    assert "_range" in ranked(scored(spark, [(1, 3)])).columns
     assert "_range" in ranked(scored(spark, [(1, 0.3)])).columns
 
 
+@pytest.mark.parametrize("score", [10_001, -1])
+def test_scores_outside_the_unit_are_refused(spark, score):
+    with pytest.raises(Exception, match="score outside"):
+        ranked(scored(spark, [(1, score), (0, 5)]), unit=10_000.0).collect()
+
+
+def test_number_of_ranges_follows_the_rows(spark, monkeypatch):
+    from ebbtide.operators import prefix
+
+    monkeypatch.setattr(prefix, "RANGE_ROWS", 10)
+    assert prefix.range_count(spark.range(10_000)) == 1000
+    assert prefix.range_count(spark.range(1)) == 2 * 8
+
+
+def test_numbered_is_a_global_order(spark):
+    from ebbtide.operators.prefix import numbered
+
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") * 7919 % 1000).alias("v"))
+    assert all(r.position == r.v + 1 for r in numbered(rows, F.asc("v")).collect())
+
+
 @pytest.mark.parametrize("parts", [WINDOW, 1, 5, 64])
 @pytest.mark.parametrize("distinct", [3, 10_000])
 def test_summary_equals_brute_force(spark, parts, distinct):

@@ -8,7 +8,6 @@ from ebbtide.operators import models as md
 from ebbtide.operators import reports as rp
 from ebbtide.plans.evaluation import comparison_table, read_document
 from ebbtide.plans.job import run
-from ebbtide.plans.registry import SMALL_FIT
 from ebbtide.sources import testdata as td
 from ebbtide.sources.schemas import SchemaError
 from ebbtide.spec import NUMERIC
@@ -95,12 +94,20 @@ def test_early_stopping_keeps_the_best_prefix(encoded):
     train = md.training_rows(encoded)
     validation = encoded.filter("split = 'val'")
     overrides = {"maxIter": 16, "maxDepth": 4, "stepSize": 0.9}
-    model, best = md.fit_early_stopped("boosted_shallow", train, validation, overrides, patience=3)
+    model, best, _ = md.fit_early_stopped("boosted_shallow", train, validation, overrides, patience=3)
     assert model.getNumTrees == best < 16
     losses = list(model.evaluateEachIteration(validation))
     assert losses.index(min(losses)) == best - 1
 
 
+def test_rounds_grow_while_the_loss_falls(encoded):
+    train, validation = md.training_rows(encoded), encoded.filter("split = 'val'")
+    overrides = {"maxIter": 12, "maxDepth": 2, "stepSize": 0.05}
+    model, best, stopped = md.fit_early_stopped("boosted_shallow", train, validation, overrides, patience=2)
+    # The first fit has 2 * patience rounds; a small step still improves there, so it is fitted again with more.
+    assert best > 4 and model.getNumTrees == best and not stopped
+
+
 def test_unknown_model():
     with pytest.raises(ValueError, match="unknown model"):
         md.classifier("perceptron")
@@ -110,7 +117,7 @@ def test_job_end_to_end(spark, tmp_path):
     tables = td.relations(td.Source(spark, SF_SMALL))
     names = ("logistic_regression", "random_forest", "boosted_shallow")
     paths = run(
-        tables, str(tmp_path / "out"), td.SPEC, names, split_hash="md5", overrides=SMALL_FIT,
+        tables, str(tmp_path / "out"), td.SPEC, names, split_hash="md5", overrides=FITS,
         raw_label="/home/someone/data/raw", parts=4,
     )
     scores = spark.read.parquet(paths["scores"])

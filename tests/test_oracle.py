@@ -1,5 +1,7 @@
 """Every query with SQL must agree with DuckDB in names, types and all values."""
 
+import os
+
 import pytest
 
 import __spark_entry__ as contract
@@ -17,13 +19,19 @@ def duck():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(contract.queries())
-    assert ROWS_ONLY == [
-        "feature_importance", "run_metrics", "scored_customers", "scores_gbt", "scores_gbt_es", "scores_lr",
-        "scores_rf", "split_xxhash", "tuned_params",
-    ]
+    # Only the optional language-model queries are beyond SQL.
+    assert all(name == "pipeline" or name.startswith("op") for name in ROWS_ONLY)
+
+
+# Fits and searches with full parameters take minutes; EBBTIDE_SLOW_TESTS=1 includes them.
+SLOW = {
+    "scores_gbt", "scores_gbt_es", "tuned_params", "tuned_params_rf", "tuned_params_gbt", "feature_importance",
+    "scored_customers", "run_metrics",
+}
+CHECKED = sorted(set(SQL) - (SLOW if os.getenv("EBBTIDE_SLOW_TESTS") != "1" else set()))
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", CHECKED)
 def test_query_agrees_with_sql(spark, duck, name):
     assert compare(contract.queries()[name](spark, SF_SMALL), duck, SQL[name]) is None
 

@@ -116,6 +116,13 @@ def test_filters_and_lists(scores):
     assert rp.list_summary(rp.matching(scores, bands=("Low",))).first().n == 0
 
 
+def test_export_is_in_order_and_the_histogram_is_full(scores):
+    rows = rp.list_export(rp.matching(scores, bands=())).orderBy("position").collect()
+    assert [(r.position, r.customer_id) for r in rows] == [(1, "C1"), (2, "C2"), (3, "c3")]
+    bins = {r.bin: r.n for r in rp.probability_histogram(scores).collect()}
+    assert sorted(bins) == list(range(40)) and sum(bins.values()) == 3 and bins[36] == 1
+
+
 def test_lookup_ignores_case_and_blanks(scores):
     assert rp.customer_lookup(scores, " C3 ").first().customer_id == "c3"
     assert rp.customer_lookup(scores, "C4").count() == 0
@@ -126,7 +133,8 @@ def test_rates(scores):
     assert {(r.feature, r.bucket, r.n) for r in rp.rate_by_behaviour(scores).collect()} == {
         (f, "0", 3) for f in rp.BEHAVIOUR_FEATURES
     }
-    assert rp.model_scores_long(scores, ["m", "other"]).count() == 6
+    long = rp.model_scores_long(scores, ["m", "other"], {"m": "A model"})
+    assert long.count() == 6 and {r.model for r in long.collect()} == {"A model", "other"}
     assert [r.value for r in rp.facet_values(scores).filter("facet = 'contract'").collect()] == ["a", "b"]
 
 

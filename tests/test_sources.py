@@ -1,5 +1,6 @@
 """Loading, cleaning, resampling and storage."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -91,6 +92,30 @@ def test_window_reaches_the_scan_and_columns_are_pruned(spark, relations, tmp_pa
     assert "amount" not in plan and "paid_date" not in plan
 
 
+def test_window_reaches_the_scan_of_text_dates(spark, relations, tmp_path):
+    for name, df in relations.items():
+        days = {c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "date"}
+        df.withColumns(days).write.parquet(str(tmp_path / f"{name}.parquet"))
+    loaded = tb.load_tables(spark, str(tmp_path), observed=td.SPEC)
+    plan = ft.payment_features(loaded["payments"], td.SPEC)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(due_date,1997-06-30)" in plan and "LessThan(due_date,2000-07-01)" in plan
+    assert ft.feature_table(loaded, td.SPEC).exceptAll(ft.feature_table(relations, td.SPEC)).count() == 0
+
+
+def test_catalog_reads_the_observed_months_alone(spark, relations):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ebb_months")
+    try:
+        tb.publish_catalog(relations, "ebb_months", buckets=2)
+        short = replace(td.SPEC, obs_months=3)
+        loaded = tb.load_catalog(spark, "ebb_months", short)
+        plan = ft.payment_features(loaded["payments"], short)._jdf.queryExecution().executedPlan().toString()
+        assert "event_month" in plan.split("PartitionFilters")[1].split("]")[0]
+        want = ft.payment_features(relations["payments"], short)
+        assert ft.payment_features(loaded["payments"], short).exceptAll(want).count() == 0
+    finally:
+        spark.sql("DROP DATABASE ebb_months CASCADE")
+
+
 def raw(spark, **changes):
     row = dict(
         customerID="7590-VHVEG", SeniorCitizen=0, tenure=1, Contract="One year", InternetService="DSL",
