@@ -1,9 +1,9 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 Lines descend a tree of fixed depth: number of tokens, then the first ``DEPTH`` tokens, those with a digit read as a
-variable field. In a leaf, a token is a constant of its place when ``min_docs`` documents have it there; every other
-token is a variable field. A line whose places are constant by at least ``CONSTANT`` belongs to the template that its
-constants make; any other line is a template by itself. Templates (and plain lines) that occur in ``min_docs`` documents
+variable field. In a leaf, a token without digits is a constant of its place when ``min_docs`` documents have it there;
+every other token is a variable field. A line with ``MIN_CONSTANTS`` constants or more, which are at least ``CONSTANT``
+of its tokens without digits, belongs to the template that they make; any other line is a template by itself. Templates (and plain lines) that occur in ``min_docs`` documents
 or more are dropped everywhere but in the document with the smallest id that has them, so that of copied text one stays.
 
 Lines that already recur as they are need no template, hence only the others of leaves with enough documents are split
@@ -26,6 +26,7 @@ DEPTH = 3
 MIN_TOKENS = 5
 MIN_DOCS = 3
 CONSTANT = 0.7
+MIN_CONSTANTS = 3
 BROADCAST_ROWS = 1_000_000
 FIELD = "<*>"
 
@@ -71,15 +72,20 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
         .groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     )
     places = rare.join(texts, ["leaf", "line"]).select(
-        "leaf", "line", "docs", F.size("tokens").alias("n"), F.posexplode("tokens").alias("place", "token")
-    ).select("leaf", "line", "docs", "n", F.xxhash64("place", _masked(F.col("token"))).alias("slot"))
+        "leaf", "line", "docs", F.posexplode("tokens").alias("place", "token")
+    ).filter(_masked(F.col("token")) != FIELD).select(
+        "leaf", "line", "docs", F.xxhash64("place", "token").alias("slot")
+    )
     places = through_table(places, scratch_path(spark, "line-places"))
     constants = places.groupBy("leaf", "slot").agg(F.sum("docs").alias("held")).filter(
         F.col("held") >= min_docs
     ).select("leaf", "slot")
-    templates = places.join(constants, ["leaf", "slot"]).groupBy("leaf", "line").agg(
-        F.bit_xor("slot").alias("template"), (F.count("*") / F.first("n")).alias("share")
-    ).filter(F.col("share") >= constant).select("leaf", "line", "template")
+    kept = F.col("constant")
+    templates = places.join(constants.withColumn("constant", F.lit(True)), ["leaf", "slot"], "left").groupBy(
+        "leaf", "line"
+    ).agg(F.bit_xor(F.when(kept, F.col("slot"))).alias("template"), F.count("constant").alias("n"), F.count("*").alias("all"))
+    enough = (F.col("n") >= MIN_CONSTANTS) & (F.col("n") >= constant * F.col("all"))
+    templates = templates.filter(enough).select("leaf", "line", "template")
     templates = through_table(templates, scratch_path(spark, "line-templates"))
     counted = (
         holders.join(templates, ["leaf", "line"]).select("leaf", "template", "row", "doc").distinct()
