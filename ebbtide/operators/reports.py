@@ -113,8 +113,11 @@ def list_summary(matches: DataFrame) -> DataFrame:
 
 
 def customer_lookup(scores: DataFrame, customer_id: str) -> DataFrame:
-    """One customer, whatever the case of the id and the blanks around the text asked for."""
-    return scores.filter(F.upper(F.col("customer_id").cast("string")) == customer_id.strip().upper())
+    """One customer, whatever the case of the id and the blanks around the text asked for.
+
+    Compares the stored ``customer_key``, so that the reader can skip what does not hold it.
+    """
+    return scores.filter(F.col("customer_key") == customer_id.strip().upper())
 
 
 def model_scores_long(scores: DataFrame, models: list[str], names: dict[str, str] | None = None) -> DataFrame:

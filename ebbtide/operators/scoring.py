@@ -37,6 +37,7 @@ def risk_scores(
         .withColumn("churn_probability", rounded_probability(F.col("p"), half_even))
         .select(
             "customer_id",
+            F.upper(F.trim(F.col("customer_id").cast("string"))).alias("customer_key"),
             F.col("label").cast("int").alias("actual_churn"),
             *CATEGORICAL,
             *NUMERIC,

@@ -54,9 +54,19 @@ def _choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.pick_best(mt.split_summary(_ranked(spark, sf_dir, "val")))
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = td.surrogate_wide(_features(spark, sf_dir))
-    return risk_scores(wide, td.SURROGATES, _choice(spark, sf_dir), td.SPEC, unit=BASIS)
+    """The scores table, written once per application and input; reports read it as they would a finished run's."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        wide = td.surrogate_wide(_features(spark, sf_dir))
+        choice = storage.through_table(_choice(spark, sf_dir), storage.scratch_path(spark, "choice"))
+        path = storage.scratch_path(spark, "scores")
+        storage.write_scores(risk_scores(wide, td.SURROGATES, choice, td.SPEC, unit=BASIS), path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:

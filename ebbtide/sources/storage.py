@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder named in ``spark.checkpoint.dir``, or else ``fallback``.
 
-    Without either, local mode gets a temporary folder; a cluster has none that all executors could reach.
+    Without either, local mode gets a temporary folder; a cluster has none that all executors could reach, and a
+    ``fallback`` on a local disk is none either.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
@@ -20,10 +24,42 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         fallback = tempfile.mkdtemp(prefix="ebbtide-")
+    elif not spark.sparkContext.master.startswith("local") and urlsplit(fallback).scheme in ("", "file"):
+        raise RuntimeError(f"{fallback} is local to each machine: set spark.checkpoint.dir, or write to a shared store")
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
 
 
+@contextmanager
+def run_folder(spark: SparkSession, fallback: str) -> Iterator[None]:
+    """Checkpoints of one run below ``fallback``, in a folder of its own that is removed at the end.
+
+    Where ``spark.checkpoint.dir`` is set, that folder is used and left to whoever set it.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None):
+        yield
+        return
+    own = f"{fallback.rstrip('/')}/{uuid.uuid4().hex}"
+    context, before = spark.sparkContext, spark.sparkContext.getCheckpointDir()
+    if before is None:
+        shared_folder(spark, own)
+    else:
+        context.setCheckpointDir(own)
+    try:
+        yield
+    finally:
+        if before is not None:
+            context.setCheckpointDir(before)
+        remove(spark, own)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder on whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from ebbtide.operators import metrics as mt
 from ebbtide.operators import models as md
 from ebbtide.operators import reports as rp
 from ebbtide.plans.evaluation import comparison_table, read_document
+from ebbtide.plans import reports
 from ebbtide.plans.job import run
 from ebbtide.sources import testdata as td
 from ebbtide.sources.schemas import SchemaError
@@ -146,6 +147,27 @@ def test_job_end_to_end(spark, tmp_path):
     assert scores.filter(F.col("churn_probability") != F.col(f"prob_{report.best_model}")).count() == 0
 
 
+def test_reports_over_a_stored_run(spark, tmp_path):
+    tables = td.relations(td.Source(spark, SF_SMALL))
+    names = ("logistic_regression", "random_forest")
+    paths = run(tables, str(tmp_path / "out"), td.SPEC, names, split_hash="md5", overrides=FITS)
+    written = reports.run(spark, paths["scores"], paths["report"], str(tmp_path / "reports"))
+    read = {name: spark.read.parquet(path) for name, path in written.items() if name != "export"}
+    assert read["kpis"].first().customers == 150 and read["histogram"].count() == 40
+    assert {r.display_name for r in read["comparison"].collect()} == {md.DISPLAY_NAMES[n] for n in names}
+    assert read["gains"].select("model").distinct().count() == 2 and read["tables"].count() == 5
+    assert read["importance"].count() == 30 and read["confusion"].count() == 2
+    scores = spark.read.parquet(paths["scores"])
+    found, by_model = reports.customer_report(scores, " 7 ")
+    assert found.count() == 1 and {r.model for r in by_model.collect()} == {md.DISPLAY_NAMES[n] for n in names}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(customer_key,7)" in plan
+    # Reports start from the scores alone.
+    plan = reports.score_reports(scores)["segments"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert not (tmp_path / "out" / "_checkpoints").exists() or not any((tmp_path / "out" / "_checkpoints").iterdir())
+
+
 def test_job_refuses_repeated_customers(spark, tmp_path):
     tables = td.relations(td.Source(spark, SF_SMALL))
     tables["customers"] = tables["customers"].union(tables["customers"])
