@@ -156,7 +156,8 @@ def score_batches(network: Network | None, texts: Iterator[bytes]) -> list[float
 
     def flush() -> None:
         if group:
-            scores.extend(network.score(group).tolist() if network else [0.5] * len(group))
+            # Sums in single precision depend on what is scored together; the digits kept do not.
+            scores.extend(np.round(network.score(group), 5).tolist() if network else [0.5] * len(group))
 
     for text in texts:
         if held + len(text) > GROUP_BYTES:
