@@ -50,8 +50,8 @@ class Network:
             "mix": np.array([0.4, 0.4, 0.4], np.float32), "bias": np.zeros(1, np.float32),
         }
 
-    def pooled(self, text: np.ndarray) -> np.ndarray:
-        """Filter responses by (block, position, filter)."""
+    def responses(self, text: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Filter responses by (block, position, filter); windows that reach into the next text have none."""
         w = self.weights
         steps = w["embed"][text].reshape(-1, STEP * DIM)
         taps = w["filters"].reshape(BLOCKS, STEP * DIM, FILTERS).transpose(1, 0, 2).reshape(STEP * DIM, -1)
@@ -59,7 +59,10 @@ class Network:
         total = parts[:, 0].copy()
         for tap in range(1, BLOCKS):
             total[:-tap] += parts[tap:, tap]
-        return total.reshape(-1, HALF // STEP, FILTERS)
+        total = total.reshape(-1, HALF // STEP, FILTERS)
+        # The last places of a text lie in its padding.
+        total[np.cumsum(blocks) - 1, 1 - BLOCKS :] = -np.inf
+        return total
 
     def chunks(self, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and second block of every chunk, and how many chunks each text has."""
@@ -81,7 +84,7 @@ class Network:
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         text, blocks = pad(texts)
-        best = self.pooled(text).max(axis=1)
+        best = self.responses(text, blocks).max(axis=1)
         first, counts = self.chunks(blocks)
         second = np.where(np.repeat(blocks == 1, counts), first, np.minimum(first + 1, len(best) - 1))
         chunk = np.maximum(np.maximum(best[first], best[second]) + self.weights["shift"], 0)
@@ -90,7 +93,7 @@ class Network:
     def gradients(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
         text, blocks = pad(texts)
-        responses = self.pooled(text)
+        responses = self.responses(text, blocks)
         where = responses.argmax(axis=1)
         best = np.take_along_axis(responses, where[:, None], axis=1)[:, 0]
         first, counts = self.chunks(blocks)
