@@ -114,7 +114,7 @@ def drop_recurring_lines(
     count = F.coalesce(F.size("_gone"), F.lit(0))
     return (
         docs.drop("n_lines", "n_dropped").withColumn("_row", F.xxhash64(id_column, text_column))
-        .join(gone, "_row", "left")
+        .join(_small(gone), "_row", "left")
         .withColumn("n_lines", F.when(F.col(text_column).isNull(), 0).otherwise(F.size(split)))
         .withColumn("n_dropped", F.when(F.col("_gone").isNull(), 0).otherwise(count))
         .withColumn(text_column, F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(kept))
