@@ -147,14 +147,13 @@ class TextCodec:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         cut = [self.pattern.findall(piece) for piece in pieces]
-        known = self.matches.learn(cut).__getitem__
-        return [b"".join(map(known, row)) for row in cut]
+        return self.matches.joined(cut)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [space_pieces(text) for text in texts]
-        rest = self.rest.learn([row for _, row in cut]).__getitem__
-        first = self.first.learn([[piece] for piece, _ in cut])
-        return [np.frombuffer(first[start] + b"".join(map(rest, row)), "<u4") for start, row in cut]
+        first = self.first.joined([[piece] for piece, _ in cut])
+        rest = self.rest.joined([row for _, row in cut])
+        return [np.frombuffer(a + b, "<u4") for a, b in zip(first, rest)]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return self.pairs.decode(ids.tolist())

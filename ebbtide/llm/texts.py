@@ -69,15 +69,32 @@ class PieceMemory:
 
     def learn(self, rows: Iterable[list[str]]) -> dict:
         """A mapping that holds the pieces of all rows, for use until the next call."""
+        self._age()
+        self._add(set().union(*rows) - self.known.keys())
+        return self.known
+
+    def joined(self, rows: list[list[str]]) -> list[bytes]:
+        """The results of each row's pieces, which are bytes, joined."""
+        self._age()
+        # One look at the large mapping for each piece; what it lacks is filled in by place.
+        found = [list(map(self.known.get, row)) for row in rows]
+        gaps = [[i for i, result in enumerate(results) if result is None] for results in found]
+        self._add({row[i] for row, places in zip(rows, gaps) for i in places})
+        for row, results, places in zip(rows, found, gaps):
+            for i in places:
+                results[i] = self.known[row[i]]
+        return [b"".join(results) for results in found]
+
+    def _age(self) -> None:
         if self.size > self.limit:
             self.known, self.older, self.size = {}, self.known, 0
-        unseen = set().union(*rows) - self.known.keys()
+
+    def _add(self, unseen: set[str]) -> None:
         self.size += sum(map(len, unseen)) + PIECE_CHARS * len(unseen)
         kept = unseen & self.older.keys()
         self.known.update((piece, self.older[piece]) for piece in kept)
         for part in balanced(unseen - kept):
             self.known.update(zip(part, self.encode(part)))
-        return self.known
 
 
 def text_groups(batches: Iterator[pa.RecordBatch], limit: int = GROUP_CHARS) -> Iterator[tuple[pa.Array, list[str]]]:

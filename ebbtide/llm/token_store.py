@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ebbtide.llm.texts import PieceMemory, space_pieces, text_groups
+from ebbtide.llm.texts import MAX_CHARS, PieceMemory, space_pieces, text_groups
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
@@ -141,7 +141,7 @@ class LibraryEncoder:
         for token, i in vocabulary.items():  # a character of a token stands for one byte
             self.sizes[i] = len(token)
         self.first = PieceMemory(self._one_by_one)
-        self.rest = PieceMemory(self._together)
+        self.rest = PieceMemory(self._together, 2 * MAX_CHARS)
 
     def _one_by_one(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -168,9 +168,9 @@ class LibraryEncoder:
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         cut = [space_pieces(text) for text in texts]
-        rest = self.rest.learn([row for _, row in cut]).__getitem__
-        first = self.first.learn([[piece] for piece, _ in cut])
-        return [first[start] + b"".join(map(rest, row)) + end for start, row in cut]
+        first = self.first.joined([[piece] for piece, _ in cut])
+        rest = self.rest.joined([row for _, row in cut])
+        return [a + b + end for a, b in zip(first, rest)]
 
 
 @lru_cache(maxsize=2)
