@@ -1,10 +1,14 @@
 """Line dedup by a log-template tree, in DataFrame functions only.
 
 Lines descend a tree of fixed depth: number of tokens, then the first ``DEPTH`` tokens, those with a digit read as a
-variable field. In a leaf, a token without digits is a constant of its place when ``min_docs`` documents have it there;
-every other token is a variable field. A line with ``MIN_CONSTANTS`` constants or more, which are at least ``CONSTANT``
-of its tokens without digits, belongs to the template that they make; any other line is a template by itself. Templates (and plain lines) that occur in ``min_docs`` documents
-or more are dropped everywhere but in the document with the smallest id that has them, so that of copied text one stays.
+variable field. In a leaf, the tokens without digits of a line are ranked by the documents that have them at their place.
+The first of them, ``MIN_CONSTANTS`` or more and at least ``CONSTANT`` of all, are its constants, and so are all with as
+many documents as the last of these; every other token is a variable field. The rank depends on no count, so that values
+of a field stay variable however often each occurs, and the constants part a leaf that mixes templates. Lines with equal
+constants make a template; a line with too few tokens without digits is one by itself. Templates (and plain lines) that
+occur in ``min_docs`` documents or more are dropped everywhere but in the document with the smallest id that has them, so
+that of copied text one stays. Values that are more frequent at their place than constants (through other templates of
+the leaf) make templates of their own.
 
 Lines that already recur as they are need no template, hence only the others of leaves with enough documents are split
 into tokens. Lines under ``min_tokens`` tokens always stay. A leaf that a third of all lines share is counted from
@@ -77,15 +81,17 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
         "leaf", "line", "docs", F.xxhash64("place", "token").alias("slot")
     )
     places = through_table(places, scratch_path(spark, "line-places"))
-    constants = places.groupBy("leaf", "slot").agg(F.sum("docs").alias("held")).filter(
-        F.col("held") >= min_docs
-    ).select("leaf", "slot")
-    kept = F.col("constant")
-    templates = places.join(constants.withColumn("constant", F.lit(True)), ["leaf", "slot"], "left").groupBy(
-        "leaf", "line"
-    ).agg(F.bit_xor(F.when(kept, F.col("slot"))).alias("template"), F.count("constant").alias("n"), F.count("*").alias("all"))
-    enough = (F.col("n") >= MIN_CONSTANTS) & (F.col("n") >= constant * F.col("all"))
-    templates = templates.filter(enough).select("leaf", "line", "template")
+    # A slot that a single line has is held by the documents of that line.
+    shared = places.groupBy("leaf", "slot").agg(F.sum("docs").alias("held"), F.count("*").alias("lines")).filter(
+        "lines > 1"
+    ).select("leaf", "slot", "held")
+    slots = places.join(shared, ["leaf", "slot"], "left").groupBy("leaf", "line").agg(
+        F.sort_array(F.collect_list(F.struct(F.coalesce("held", "docs").alias("held"), "slot")), asc=False).alias("slots")
+    ).filter(F.size("slots") >= MIN_CONSTANTS)
+    needed = F.greatest(F.lit(MIN_CONSTANTS), F.ceil(F.size("slots") * F.lit(constant))).cast("int")
+    slots = slots.withColumn("least", F.get("slots", needed - 1)["held"])
+    kept = F.transform(F.filter("slots", lambda x: x["held"] >= F.col("least")), lambda x: x["slot"])
+    templates = slots.select("leaf", "line", F.xxhash64(kept).alias("template"))
     templates = through_table(templates, scratch_path(spark, "line-templates"))
     counted = (
         holders.join(templates, ["leaf", "line"]).select("leaf", "template", "row", "doc").distinct()
