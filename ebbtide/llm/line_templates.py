@@ -10,9 +10,9 @@ occur in ``min_docs`` documents or more are dropped everywhere but in the docume
 that of copied text one stays. Values that are more frequent at their place than constants (through other templates of
 the leaf) make templates of their own.
 
-Lines that already recur as they are need no template, hence only the others of leaves with enough documents are split
-into tokens. Lines under ``min_tokens`` tokens always stay. A leaf that a third of all lines share is counted from
-distinct lines; all sums are combined before the shuffle. Nothing is collected.
+Lines that recur as they are take part in all counts, as one row with its number of documents, and only leaves with
+several lines and enough documents are split into tokens. Lines under ``min_tokens`` tokens always stay. A leaf that a
+third of all lines share is counted from distinct lines; all sums are combined before the shuffle. Nothing is collected.
 
 Null texts stay null, empty ones empty; a repeated row counts as one document and is treated like its twin. Rows with a
 null id are documents; where all holders of a template have one, all keep it. Every input row comes back with its other
@@ -63,19 +63,16 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
     holders = through_table(lines.select("leaf", "line", "row", "doc").distinct(), scratch_path(spark, "line-holders"))
     plain = holders.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
     plain = through_table(plain, scratch_path(spark, "line-counts"))
-    known = plain.filter(F.col("docs") >= min_docs).select("leaf", "line", "first")
-    # Leaves whose rarer lines could make a template together.
-    rare = plain.filter(F.col("docs") < min_docs)
-    leaves = rare.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("m")).filter(
+    # Leaves whose lines could make a template together; in the others a line is its own template.
+    leaves = plain.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("m")).filter(
         (F.col("n") >= min_docs) & (F.col("m") > 1)
     ).select("leaf")
     leaves = through_table(leaves, scratch_path(spark, "line-leaves"))
-    rare = rare.join(_small(leaves), "leaf").select("leaf", "line", "docs")
     texts = (
         lines.select("leaf", "line", "tokens").join(_small(leaves), "leaf")
         .groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
     )
-    places = rare.join(texts, ["leaf", "line"]).select(
+    places = plain.join(texts, ["leaf", "line"]).select(
         "leaf", "line", "docs", F.posexplode("tokens").alias("place", "token")
     ).filter(_masked(F.col("token")) != FIELD).select(
         "leaf", "line", "docs", F.xxhash64("place", "token").alias("slot")
@@ -92,14 +89,24 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
     slots = slots.withColumn("least", F.get("slots", needed - 1)["held"])
     kept = F.transform(F.filter("slots", lambda x: x["held"] >= F.col("least")), lambda x: x["slot"])
     templates = slots.select("leaf", "line", F.xxhash64(kept).alias("template"))
-    templates = through_table(templates, scratch_path(spark, "line-templates"))
+    named = plain.join(templates, ["leaf", "line"], "left").withColumn("own", F.col("template").isNull())
+    named = named.withColumn("template", F.coalesce("template", "line"))
+    named = through_table(named, scratch_path(spark, "line-templates"))
+    key = ["leaf", "own", "template"]
+    sums = named.groupBy(key).agg(
+        F.sum("docs").alias("n"), F.max("docs").alias("most"), F.min("first").alias("first")
+    ).filter(F.col("n") >= min_docs)
+    sums = through_table(sums, scratch_path(spark, "line-sums"))
+    # Documents with several lines of a template count once; one line in enough documents settles the count.
+    sure = sums.filter(F.col("most") >= min_docs).select(*key, "first")
+    open_lines = named.join(sums.filter(F.col("most") < min_docs).select(key), key).select(*key, "line")
     counted = (
-        holders.join(templates, ["leaf", "line"]).select("leaf", "template", "row", "doc").distinct()
-        .groupBy("leaf", "template").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
-        .filter(F.col("docs") >= min_docs)
+        holders.join(open_lines, ["leaf", "line"]).select(*key, "row", "doc").distinct()
+        .groupBy(key).agg(F.count("*").alias("n"), F.min("doc").alias("first"))
+        .filter(F.col("n") >= min_docs).select(*key, "first")
     )
-    general = templates.join(counted, ["leaf", "template"]).select("leaf", "line", "first")
-    return through_table(known.unionByName(general), scratch_path(spark, "line-drops"))
+    drops = named.select("leaf", "line", *key[1:]).join(sure.unionByName(counted), key).select("leaf", "line", "first")
+    return through_table(drops, scratch_path(spark, "line-drops"))
 
 
 def drop_recurring_lines(

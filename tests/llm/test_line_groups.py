@@ -1,9 +1,14 @@
 """Line templates from their definition: word-valued fields, dominant variants, long lines in two documents."""
 
+import math
+import random
+from collections import Counter, defaultdict
+
 import pytest
 
 from ebbtide.llm import line_templates as lt
 from tests.llm.helpers import SCHEMA
+from tests.llm.test_line_templates import corpus
 
 
 def word(number):
@@ -33,3 +38,57 @@ def test_fields_of_templates_that_share_a_leaf(spark):
     rows += [(2000, "The account named after him shows prose that nobody else wrote down before")]
     got = kept(spark, rows)
     assert [doc for doc, text in got.items() if text] == [0, 1000, 2000]
+
+
+def test_dominant_variant_takes_its_template_along(spark):
+    rows = [(10 + doc, account(7, 7)) for doc in range(200)] + [(3, account(7, 8)), (400, account(9, 7))]
+    got = kept(spark, rows)
+    assert [doc for doc, text in got.items() if text] == [3]
+
+
+def test_one_copy_for_a_template_of_recurring_variants(spark):
+    rows = [(doc, f"Posted by user{doc % 4} on day {doc % 4} sharp") for doc in range(40)]
+    got = kept(spark, rows)
+    assert [doc for doc, text in got.items() if text] == [0]
+
+
+def whole(rows, min_docs=lt.MIN_DOCS, min_tokens=lt.MIN_TOKENS):
+    """From the definition: every line takes part in the counts of its leaf."""
+    digit = lambda token: any(c.isascii() and c.isdigit() for c in token)
+    holders, leaves = defaultdict(set), defaultdict(set)
+    for doc, text in rows:
+        for line in map(str.split, text.split("\n")):
+            if len(line) >= min_tokens:
+                holders[tuple(line)].add(doc)
+                leaves[len(line), tuple(lt.FIELD if digit(t) else t for t in line[: lt.DEPTH])].add(tuple(line))
+    first = {}
+    for lines in leaves.values():
+        held, groups = Counter(), defaultdict(set)
+        for line in lines:
+            held.update({slot: len(holders[line]) for slot in enumerate(line)})
+        for line in lines:
+            slots = sorted((s for s in enumerate(line) if not digit(s[1])), key=held.get, reverse=True)
+            if len(slots) >= lt.MIN_CONSTANTS:
+                least = held[slots[max(lt.MIN_CONSTANTS, math.ceil(lt.CONSTANT * len(slots))) - 1]]
+                groups[frozenset(s for s in slots if held[s] >= least)].add(line)
+            else:
+                groups[line].add(line)
+        for group in groups.values():
+            docs = set().union(*(holders[line] for line in group))
+            if len(docs) >= min_docs:
+                first.update((line, min(docs)) for line in group)
+    out = {}
+    for doc, text in rows:
+        out[doc] = "\n".join(x for x in text.split("\n") if first.get(tuple(x.split()), doc) == doc)
+    return out
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_equals_the_definition(spark, seed):
+    rng = random.Random(seed)
+    rows = corpus(seed)
+    for doc in range(100, 400):
+        name, city = (int(rng.paretovariate(0.7)) % 50 for _ in range(2))
+        lines = [account(name, city), " ".join(rng.choice(["a", "b", "c", "d9"]) for _ in range(rng.randrange(4, 8)))]
+        rows.append((doc, "\n".join(lines * rng.choice([1, 1, 2]))))
+    assert kept(spark, rows) == whole(rows)
