@@ -7,8 +7,9 @@ many documents as the last of these; every other token is a variable field. The
 of a field stay variable however often each occurs, and the constants part a leaf that mixes templates. Lines with equal
 constants make a template; a line with too few tokens without digits is one by itself. Templates (and plain lines) that
 occur in ``min_docs`` documents or more are dropped everywhere but in the document with the smallest id that has them, so
-that of copied text one stays. Values that are more frequent at their place than constants (through other templates of
-the leaf) make templates of their own.
+that of copied text one stays. A line of ``LONG_TOKENS`` tokens or more goes likewise when it recurs as it is in
+``LONG_DOCS`` documents; shorter common lines are under the stricter count. Values that are more frequent at their place
+than constants (through other templates of the leaf) make templates of their own.
 
 Lines that recur as they are take part in all counts, as one row with its number of documents, and only leaves with
 several lines and enough documents are split into tokens. Lines under ``min_tokens`` tokens always stay. A leaf that a
@@ -31,6 +32,7 @@ MIN_TOKENS = 5
 MIN_DOCS = 3
 CONSTANT = 0.7
 MIN_CONSTANTS = 3
+LONG_TOKENS, LONG_DOCS = 50, 2
 BROADCAST_ROWS = 1_000_000
 FIELD = "<*>"
 
@@ -45,7 +47,7 @@ def _small(rows: DataFrame) -> DataFrame:
 
 
 def parsed_lines(docs: DataFrame, id_column: str, text_column: str, min_tokens: int) -> DataFrame:
-    """(row, doc, pos, leaf, line, tokens): lines of at least ``min_tokens`` tokens at their leaf of the tree."""
+    """(row, doc, pos, leaf, line, tokens, long): lines of at least ``min_tokens`` tokens at their leaf of the tree."""
     lines = docs.select(
         F.xxhash64(id_column, text_column).alias("row"), F.col(id_column).alias("doc"),
         F.posexplode(F.split(text_column, "\n")).alias("pos", "text"),
@@ -53,15 +55,18 @@ def parsed_lines(docs: DataFrame, id_column: str, text_column: str, min_tokens:
     lines = lines.withColumn("tokens", F.split(F.trim(F.regexp_replace("text", "\\s+", " ")), " "))
     lead = [_masked(F.get("tokens", F.lit(i))) for i in range(DEPTH)]
     return lines.filter(F.size("tokens") >= min_tokens).select(
-        "row", "doc", "pos", F.xxhash64(F.size("tokens"), *lead).alias("leaf"), F.xxhash64("tokens").alias("line"), "tokens"
+        "row", "doc", "pos", F.xxhash64(F.size("tokens"), *lead).alias("leaf"), F.xxhash64("tokens").alias("line"), "tokens",
+        (F.size("tokens") >= LONG_TOKENS).alias("long"),
     )
 
 
 def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
     """(leaf, line, first): the lines to drop outside the document ``first``."""
     spark = lines.sparkSession
-    holders = through_table(lines.select("leaf", "line", "row", "doc").distinct(), scratch_path(spark, "line-holders"))
-    plain = holders.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
+    holders = through_table(lines.select("leaf", "line", "row", "doc", "long").distinct(), scratch_path(spark, "line-holders"))
+    plain = holders.groupBy("leaf", "line").agg(
+        F.count("*").alias("docs"), F.min("doc").alias("first"), F.first("long").alias("long")
+    )
     plain = through_table(plain, scratch_path(spark, "line-counts"))
     # Leaves whose lines could make a template together; in the others a line is its own template.
     leaves = plain.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("m")).filter(
@@ -105,7 +110,11 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
         .groupBy(key).agg(F.count("*").alias("n"), F.min("doc").alias("first"))
         .filter(F.col("n") >= min_docs).select(*key, "first")
     )
-    drops = named.select("leaf", "line", *key[1:]).join(sure.unionByName(counted), key).select("leaf", "line", "first")
+    pairs = F.col("long") & (F.col("docs") >= LONG_DOCS)
+    drops = (
+        named.join(sure.unionByName(counted).withColumnRenamed("first", "kept"), key, "left")
+        .filter(F.col("kept").isNotNull() | pairs).select("leaf", "line", F.coalesce("kept", "first").alias("first"))
+    )
     return through_table(drops, scratch_path(spark, "line-drops"))
 
 

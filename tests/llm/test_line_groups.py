@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from ebbtide.llm import line_templates as lt
-from tests.llm.helpers import SCHEMA
+from tests.llm.helpers import SCHEMA, prose
 from tests.llm.test_line_templates import corpus
 
 
@@ -92,3 +92,11 @@ def test_equals_the_definition(spark, seed):
         lines = [account(name, city), " ".join(rng.choice(["a", "b", "c", "d9"]) for _ in range(rng.randrange(4, 8)))]
         rows.append((doc, "\n".join(lines * rng.choice([1, 1, 2]))))
     assert kept(spark, rows) == whole(rows)
+
+
+def test_long_lines_go_from_two_documents_on(spark):
+    rng = random.Random(8)
+    passage, short = prose(rng, 60), prose(rng, 49)
+    rows = [(i, "\n".join([prose(rng, 80), passage, short, prose(rng, 80)])) for i in range(2)]
+    got = kept(spark, rows)
+    assert got[0] == rows[0][1] and got[1] == rows[1][1].replace(passage + "\n", "")
