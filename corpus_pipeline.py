@@ -14,9 +14,8 @@ from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_
 from ebbtide.llm.workers import reachable, small
 from ebbtide.sources.storage import scratch_path, through_table
 
-# Near duplicates: five words, a similarity of 0.8 or more. Signatures find every pair from 0.85 on, and the rest with
-# a probability that grows with the length of the texts.
-WORDS, PERCENT, SURE = 5, 80, 85
+# Near duplicates: five words, a similarity of 0.8 or more. Signatures find every such pair.
+WORDS, PERCENT, SURE = 5, 80, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
