@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn, secret_scan, token_counts, token_store, toxicity, vector_dedup
+from ebbtide.llm import (
+    bpe, decontaminate, line_templates, merkle, ngram_join, quality_cnn, secret_scan, sql, token_counts, token_store, toxicity,
+    vector_dedup,
+)
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_merkle_manifest": sql.MERKLE}
 
 
 def query(function: Query) -> Query:
@@ -77,3 +80,8 @@ def op10_token_store(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     token_store.write_store(table(spark, sf_dir, "documents"), path)
     return token_store.read_store(spark, path, with_ids=False)
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered_leaf(), proofs=False)
