@@ -7,15 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm import (
-    bpe, decontaminate, line_templates, merkle, ngram_join, quality_cnn, secret_scan, sql, token_counts, token_store, toxicity,
-    vector_dedup,
+    bpe, decontaminate, line_templates, merkle, mixing, ngram_join, phrases, quality_cnn, secret_scan, sql, token_counts,
+    token_store, toxicity, vector_dedup,
 )
 from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {"op11_merkle_manifest": sql.MERKLE}
+SQL: dict[str, str] = {
+    "op11_merkle_manifest": sql.MERKLE, "op12_phrase_collocations": sql.PHRASES, "op13_source_mix": sql.MIXING,
+}
 
 
 def query(function: Query) -> Query:
@@ -85,3 +87,14 @@ def op10_token_store(spark, sf_dir):
 @query
 def op11_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered_leaf(), proofs=False)
+
+
+@query
+def op12_phrase_collocations(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_source_mix(spark, sf_dir):
+    mixed = mixing.plan(mixing.described(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")

@@ -71,3 +71,76 @@ FROM numbered AS l JOIN subroots AS s USING (tree) CROSS JOIN (SELECT node FROM
 LEFT JOIN proofs AS p ON p.tree = l.tree AND p.pos = l.pos
 JOIN folds AS f ON f.tree = l.tree AND f.pos = l.pos AND f.depth = COALESCE(p.steps, 0)
 """
+
+_SIZE = "CAST(COALESCE(len(regexp_extract_all(text, '[^ \\t-\\r]+')), 0) AS BIGINT)"
+_KEY = "substr(md5(COALESCE(CAST(doc_id AS VARCHAR), '-') || ':' || COALESCE(text, '')), 1, 16)"
+
+MIXING = f"""
+WITH RECURSIVE sized AS (SELECT doc_id, source, {_SIZE} AS size, {_KEY} AS key FROM documents),
+sources AS (
+  SELECT source, source_size, 2 * CAST(source_size AS DOUBLE) AS most,
+         CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INT) + 1] AS DOUBLE) AS weight
+  FROM (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM sized GROUP BY source)
+),
+levels AS (
+  SELECT 15E-1 * CAST(SUM(source_size) AS DOUBLE) AS wanted, 15E-1 * CAST(SUM(source_size) AS DOUBLE) / SUM(weight) AS level FROM sources
+  UNION ALL
+  SELECT wanted, risen FROM (
+    SELECT wanted, level, (wanted - COALESCE((SELECT SUM(most) FROM sources WHERE most < level * weight), 0E0))
+           / (SELECT SUM(weight) FROM sources WHERE most >= level * weight) AS risen
+    FROM levels
+  ) WHERE risen > level
+),
+targets AS (
+  SELECT source, source_size, least(most, (SELECT MAX(level) FROM levels) * weight) AS target FROM sources
+),
+budgets AS (
+  SELECT *, CAST(round(target) AS BIGINT) - epochs * source_size AS rest
+  FROM (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 2) ELSE 0 END AS epochs FROM targets)
+),
+ordered AS (
+  SELECT *, CAST(COALESCE(SUM(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM sized
+)
+SELECT o.doc_id, o.size, b.source_size, b.target,
+       CAST(b.epochs * o.size + greatest(0, least(o.size, b.rest - o.before)) AS BIGINT) AS taken
+FROM ordered AS o JOIN budgets AS b ON o.source IS NOT DISTINCT FROM b.source
+"""
+
+_SCORE = "CAST(CAST(a AS HUGEINT) * a * 1000000 // (CAST({l} AS HUGEINT) * {r}) AS BIGINT)"
+
+PHRASES = f"""
+WITH pieces AS (
+  SELECT lang, text, row_number() OVER () AS piece FROM (
+    SELECT COALESCE(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n-\\r]')) AS text
+    FROM documents)
+),
+split AS MATERIALIZED (SELECT lang, piece, list_filter(regexp_split_to_array(text, '[ \\t]+'), LAMBDA w: w <> '') AS words FROM pieces),
+occurrences AS MATERIALIZED (
+  SELECT lang, w1, CASE WHEN piece = next_piece THEN w2 END AS w2, CASE WHEN piece = last_piece THEN w3 END AS w3 FROM (
+    SELECT lang, piece, word AS w1, lead(word) OVER o AS w2, lead(piece) OVER o AS next_piece, lead(word, 2) OVER o AS w3,
+           lead(piece, 2) OVER o AS last_piece
+    FROM (SELECT lang, piece, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split) WINDOW o AS (ORDER BY piece, pos))
+),
+f1 AS MATERIALIZED (SELECT lang, w1, COUNT(*) AS f FROM occurrences GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, COUNT(*) AS f FROM occurrences WHERE w2 IS NOT NULL GROUP BY ALL HAVING COUNT(*) >= 10),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, COUNT(*) AS f FROM occurrences WHERE w3 IS NOT NULL GROUP BY ALL HAVING COUNT(*) >= 10),
+cuts AS (
+  SELECT p.lang, p.w1 || ' ' || p.w2 AS phrase, p.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM f2 AS p JOIN f1 AS x ON x.lang = p.lang AND x.w1 = p.w1 JOIN f1 AS y ON y.lang = p.lang AND y.w1 = p.w2
+  WHERE NOT EXISTS (SELECT 1 FROM f3 AS t WHERE t.lang = p.lang AND t.w1 = p.w1 AND t.w2 = p.w2 AND 100 * t.f >= 50 * p.f)
+    AND NOT EXISTS (SELECT 1 FROM f3 AS t WHERE t.lang = p.lang AND t.w2 = p.w1 AND t.w3 = p.w2 AND 100 * t.f >= 50 * p.f)
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f
+  FROM f3 AS t JOIN f1 AS x ON x.lang = t.lang AND x.w1 = t.w1 JOIN f2 AS y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f
+  FROM f3 AS t JOIN f2 AS x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN f1 AS y ON y.lang = t.lang AND y.w1 = t.w3
+),
+scored AS (SELECT *, {_SCORE.format(l='l', r='r')} AS score FROM cuts),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN (SELECT lang, SUM(f) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
