@@ -3,8 +3,9 @@
 The occurrences of all words lie in a table (piece, pos, word), dealt and sorted by piece and position. Joined to itself at
 adjacent positions it gives the occurrences of pairs; those are counted in groups, and only occurrences of frequent pairs
 are kept as the next table, which joined to itself in the same way gives the triples. The tables are bucketed by piece, so
-no join shuffles occurrences; what is shuffled is pieces once, and counts combined before. Sets of frequent groups are
-broadcast up to a checked number of rows, beyond it the occurrences are shuffled to them.
+no join shuffles occurrences; what is shuffled is pieces once, and counts combined before. A small set of frequent groups
+is broadcast as it is; a larger one as a sieve of fixed size, which may let others pass as well. Those cost time and
+change nothing, as every count that matters is taken from the occurrences that passed.
 
 Words are 64-bit hashes of language and word, checked to be different for different words, else another seed is taken.
 Pairs are first counted by a hash of theirs, which can only keep too many; the counts that matter are of the words.
@@ -24,7 +25,6 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.workers import BROADCAST_ROWS
 from ebbtide.sources.storage import remove, scratch_path, through_table
 
 LEAST = 10  # occurrences of a phrase
@@ -32,6 +32,8 @@ COVERED = 50  # percent of its occurrences inside a longer one, from which a phr
 SCALE = 1_000_000
 TOP = 2_000  # phrases of a language
 BUCKET_ROWS = 3_000_000
+EXACT_ROWS = 200_000  # frequent groups that are broadcast one by one
+SIEVE_ROWS, SIEVE_WORDS = 1 << 19, 8  # of 64 bits: 32 MB
 _BREAK = "[.,;:!?\\n-\\r]"
 _WIDE = "decimal(16,0)"  # products of two, times SCALE, stay within 38 digits
 
@@ -94,18 +96,30 @@ class Occurrences:
         self.names.append(name)
         return self.spark.table(name)
 
-    def keep(self, rows: DataFrame, frequent: DataFrame, key: str) -> DataFrame:
-        """Occurrences of frequent groups, dealt by piece as they came."""
-        if frequent.count() <= BROADCAST_ROWS:
-            return rows.join(F.broadcast(frequent), key, "left_semi")
-        return self.dealt(rows.join(frequent, key, "left_semi"))
-
     def drop(self) -> None:
         for name in self.names:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         remove(self.spark, self.folder)
 
 
+def among(rows: DataFrame, frequent: DataFrame, key: str) -> DataFrame:
+    """Occurrences of frequent groups, and beyond ``EXACT_ROWS`` groups a few others; ``key`` is a hash. No shuffle."""
+    if frequent.count() <= EXACT_ROWS:
+        return rows.join(F.broadcast(frequent), key, "left_semi")
+
+    def place(width: int, below: int) -> Column:
+        return F.shiftrightunsigned(F.col(key), below).bitwiseAND(F.lit(width - 1))
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place(64, 0).cast("int"))
+    words = [F.bit_or(F.when(place(SIEVE_WORDS, 6) == i, bit).otherwise(0)).alias(f"word_{i}") for i in range(SIEVE_WORDS)]
+    sieve = frequent.groupBy(place(SIEVE_ROWS, 9).alias("sieve_row")).agg(*words)
+    word = F.lit(0).cast("bigint")
+    for i in range(SIEVE_WORDS):
+        word = F.when(place(SIEVE_WORDS, 6) == i, F.col(f"word_{i}")).otherwise(word)
+    passed = rows.withColumn("sieve_row", place(SIEVE_ROWS, 9)).join(F.broadcast(sieve), "sieve_row")
+    return passed.filter(word.bitwiseAND(bit) != 0).select(rows.columns)
+
+
 def adjacent(left: DataFrame, right: DataFrame, *columns: Column) -> DataFrame:
     """Occurrences that are followed by one at the next position of their piece."""
     left, right = left.alias("x"), right.alias("y")
@@ -118,8 +132,10 @@ def counted(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Written tables: words (lang, word, f, id) and pairs (a, b, f) and triples (a, b, c, f) of ids, all from ``least``
-    occurrences on; sizes (lang, n)."""
+    """Written tables: words (lang, word, f, id), pairs (a, b, f) and triples (a, b, c, f) of ids, and sizes (lang, n).
+
+    All but the sizes hold what occurs ``least`` times or more.
+    """
     spark = docs.sparkSession
     cut = pieces(docs)
     known, seed = vocabulary(cut)
@@ -134,12 +150,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
             numbered = found.dealt(cut.filter("text <> ''").withColumn("piece", F.monotonically_increasing_id()))
             rows = numbered.select("piece", "lang", F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
             rows = rows.select("piece", "pos", word_id(seed).alias("id"))
-            ones = found.write(found.keep(rows, words.select("id"), "id"))
+            ones = found.write(among(rows, words.select("id"), "id"))
 
             twos = adjacent(ones, ones, F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             twos = twos.withColumn("pair", F.xxhash64("a", "b"))
             likely = through_table(counted(twos, ["pair"], least).select("pair"), scratch_path(spark, "likely-pairs"))
-            twos = found.write(found.keep(twos, likely, "pair").drop("pair"))
+            twos = found.write(among(twos, likely, "pair").drop("pair"))
             pairs = through_table(counted(twos, ["a", "b"], least), scratch_path(spark, "pairs"))
 
             threes = adjacent(twos, twos, F.col("x.a"), F.col("x.b"), F.col("y.b").alias("c"))

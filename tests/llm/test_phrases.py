@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.llm import phrases
@@ -73,12 +74,24 @@ def test_first_of_each_language_and_ties(spark):
     assert {row[0] for row in expected} == {"en", "de", "und"}
 
 
-def test_frequent_groups_that_are_too_many_to_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(phrases, "BROADCAST_ROWS", 5)
+@pytest.mark.parametrize("rows, words", [(1 << 19, 8), (4, 2)])
+def test_frequent_groups_in_a_sieve(spark, monkeypatch, rows, words):
+    """A wide sieve, and one so narrow that much passes that should not."""
+    monkeypatch.setattr(phrases, "EXACT_ROWS", 5)
+    monkeypatch.setattr(phrases, "SIEVE_ROWS", rows)
+    monkeypatch.setattr(phrases, "SIEVE_WORDS", words)
     rows = corpus(3, 40)
     assert collected(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 
+def test_a_sieve_passes_all_members_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "EXACT_ROWS", 5)
+    rows = spark.range(20_000).selectExpr("id", "xxhash64(id) AS h")
+    passed = phrases.among(rows, rows.filter("id < 2000").select("h"), "h")
+    assert passed.columns == ["id", "h"] and passed.filter("id < 2000").count() == 2000
+    assert passed.count() < 2010
+
+
 def test_odd_rows_clashing_names_and_no_rows(spark):
     df = odd_documents(spark)
     for name in ("word", "piece", "pair", "f", "a", "b", "rank", "cut"):
