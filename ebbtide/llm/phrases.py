@@ -65,16 +65,22 @@ def vocabulary(cut: DataFrame) -> tuple[DataFrame, int]:
     return known, seed
 
 
+# A join by piece and position may use tables dealt by piece alone, and the order of their files.
+_BUCKETED = {
+    "spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+}
+
+
 @contextmanager
 def joined_in_buckets(spark: SparkSession) -> Iterator[None]:
-    """Lets a join by piece and position use tables dealt by piece alone."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
+    before = {name: spark.conf.get(name) for name in _BUCKETED}
     try:
+        for name, value in _BUCKETED.items():
+            spark.conf.set(name, value)
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 class Occurrences:

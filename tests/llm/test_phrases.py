@@ -115,15 +115,15 @@ def test_overlapping_and_exact_numbers(spark):
 def test_joins_shuffle_no_occurrences(spark):
     """The join at adjacent positions reads both sides from their buckets."""
     found = phrases.Occurrences(spark, 10)
-    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    before = {name: spark.conf.get(name) for name in phrases._BUCKETED}
     try:
         with phrases.joined_in_buckets(spark):
             rows = spark.range(100).selectExpr("id % 7 AS piece", "int(id div 7) AS pos", "id")
             ones = found.write(found.dealt(rows))
             plan = phrases.adjacent(ones, ones, F.col("x.id").alias("a"), F.col("y.id").alias("b"))
             text = plan._jdf.queryExecution().executedPlan().toString()
-            assert "SortMergeJoin" in text and "Exchange" not in text
+            assert "SortMergeJoin" in text and "Exchange" not in text and text.count("Sort [") == 1
             assert plan.count() == 93
     finally:
         found.drop()
-    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    assert {name: spark.conf.get(name) for name in phrases._BUCKETED} == before
