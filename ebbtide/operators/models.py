@@ -6,22 +6,25 @@ chains the fitted models over one encoded relation, so no join is needed to brin
 
 from __future__ import annotations
 
+import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbtide.operators import metrics as mt
+from ebbtide.operators.boosting import boost
+from ebbtide.sources.storage import scratch_path, through_table
 from ebbtide.spec import CATEGORICAL, NUMERIC, SEED
 
 # Names, hyper-parameters and search grids of the classifiers.
@@ -50,10 +53,13 @@ GRIDS: dict[str, dict[str, list[Any]]] = {
     "gbt": {"maxDepth": [3, 5], "maxIter": [60, 120]},
 }
 REPORTED_PARAMS = ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees", "stepSize")
+# What fitting reads of an encoded relation.
+TRAINING_COLUMNS = ("customer_id", "split", "label", "raw_features", "features")
 FOLDS = 3
 PATIENCE = 50
 TOP_FEATURES = 15
 PARALLEL_FITS = 4
+PARALLEL_SEARCH = 2
 
 MODELS = tuple(DISPLAY_NAMES)
 EARLY_STOPPED = ("boosted_deep", "boosted_shallow")
@@ -74,6 +80,7 @@ class Fitted:
     model: Any
     seconds: float
     params: dict[str, float] = field(default_factory=dict)
+    search: DataFrame | None = None
 
 
 def encoder() -> Pipeline:
@@ -118,57 +125,80 @@ def classifier(name: str, overrides: dict[str, Any] | None = None):
     return _CLASSES[name](featuresCol="raw_features", labelCol="label", seed=SEED, **params)
 
 
-def grid_search(name: str, train: DataFrame, grid: dict[str, list[Any]], overrides=None, folds: int = FOLDS):
-    """Cross-validated search by ROC-AUC. Folds come from a hash of the id, so a re-run has the same folds."""
-    estimator = classifier(name, overrides)
-    builder = ParamGridBuilder()
-    for param, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(param), values)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-        numFolds=folds,
-        parallelism=2,
-        foldCol="fold",
-        seed=SEED,
-    )
+def grid_points(grid: dict[str, list[Any]]) -> list[dict[str, Any]]:
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+
+
+def out_of_fold(name: str, train: DataFrame, points: list[dict[str, Any]], overrides=None, folds: int = FOLDS) -> DataFrame:
+    """(model, split, customer_id, label, score): what every grid point, fitted without a fold, gives the rows of that fold.
+
+    ``model`` is the number of the point, ``split`` that of the fold. Folds come from a hash of the id, so a re-run has the
+    same ones. The fits run a few at a time, and one job scores and writes them all.
+    """
     fold = F.pmod(F.xxhash64(F.lit("fold"), "customer_id"), F.lit(folds)).cast("int")
-    return search.fit(train.withColumn("fold", fold)).bestModel
+    rows = train.withColumn("fold", fold)
+
+    def one(task: tuple[int, int]) -> DataFrame:
+        point, left_out = task
+        model = classifier(name, {**(overrides or {}), **points[point]}).fit(rows.filter(F.col("fold") != left_out))
+        scored = model.setProbabilityCol("_probability").transform(rows.filter(F.col("fold") == left_out))
+        return scored.select(
+            F.lit(str(point)).alias("model"), F.lit(str(left_out)).alias("split"), "customer_id",
+            F.col("label").cast("int").alias("label"), vector_to_array("_probability")[1].alias("score"),
+        )
 
+    tasks = list(itertools.product(range(len(points)), range(folds)))
+    with ThreadPoolExecutor(max_workers=PARALLEL_SEARCH) as pool:
+        scored = list(pool.map(inheritable_thread_target(train.sparkSession)(one), tasks))
+    return reduce(DataFrame.unionByName, scored)
 
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """Round with the lowest loss before ``patience`` rounds pass without a lower one, and whether they passed."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
 
+def search_table(scored: DataFrame, points: list[dict[str, Any]]) -> DataFrame:
+    """(point, parameters, folds, n, positives, mean_auc, rank): every grid point with its exact AUC, mean of the folds.
+
+    Rank 1 is the winner, the highest mean, the first of equal ones. Folds with a single class have no AUC.
+    """
+    spark = scored.sparkSession
+    summary = mt.split_summary(mt.rank_groups(mt.score_groups(scored)))
+    means = summary.groupBy(F.col("model").cast("int").alias("point")).agg(
+        F.count("*").alias("folds"), F.sum("n").alias("n"), F.sum("positives").alias("positives"), F.avg("roc_auc").alias("mean_auc")
+    )
+    # A row per grid point.
+    named = spark.createDataFrame(
+        [(i, {k: float(v) for k, v in point.items()}) for i, point in enumerate(points)], "point int, parameters map<string,double>"
+    )
+    order = Window.orderBy(F.col("mean_auc").desc_nulls_last(), "point")
+    return named.join(means, "point").withColumn("rank", F.row_number().over(order)).select(
+        "point", "parameters", "folds", "n", "positives", "mean_auc", "rank"
+    )
+
+
+def grid_search(name: str, train: DataFrame, grid: dict[str, list[Any]], overrides=None, folds: int = FOLDS):
+    """The model of the best grid point, fitted to all training rows, and the table of all points."""
+    spark, points = train.sparkSession, grid_points(grid)
+    scored = through_table(out_of_fold(name, train, points, overrides, folds), scratch_path(spark, "out-of-fold"))
+    table = through_table(search_table(scored, points), scratch_path(spark, "search"))
+    best = table.filter("rank = 1").first().point
+    return classifier(name, {**(overrides or {}), **points[best]}).fit(train), table
 
-def fit_early_stopped(
-    name: str, train: DataFrame, validation: DataFrame, overrides=None, patience: int = PATIENCE
-):
-    """Boosting that keeps the number of rounds with the lowest validation loss.
 
-    MLlib's own stopping rule has a tolerance but no patience. The rounds therefore start at twice the patience and
-    double until the loss curve, evaluated on the executors, has stood still for ``patience`` rounds, then the model is
-    fitted again up to the best one. The same seed gives the same leading trees. Returns the model, its rounds, and
-    whether it stopped (False: it reached ``maxIter`` first).
+def stationarity(scored: DataFrame, model, probability: str, regularisation: float) -> DataFrame:
+    """(slot, coefficient, residual): how far a logistic regression with an L2 penalty is from its optimum.
+
+    The residual of a slot is |mean((p - y) x) + regularisation * coefficient| over the training rows, that of the
+    intercept (slot -1) the mean of p - y. All are 0 at the optimum; one pass and one sum per slot find them.
     """
-    cap = {**PARAMS[name], **(overrides or {})}["maxIter"]
-    rounds = min(cap, 2 * patience)
-    while True:
-        model = classifier(name, {**(overrides or {}), "maxIter": rounds}).fit(train)
-        best, stopped = best_round(list(model.evaluateEachIteration(validation)), patience)
-        if stopped or rounds >= cap:
-            break
-        rounds = min(cap, 2 * rounds)
-    if best < rounds:
-        model = classifier(name, {**(overrides or {}), "maxIter": best}).fit(train)
-    return model, best, stopped
+    error = F.col(probability) - F.col("label")
+    rows = scored.select(error.alias("error"), F.posexplode(F.array_append(vector_to_array("features"), F.lit(1.0))).alias("slot", "x"))
+    width = model.numFeatures
+    slot = F.when(F.col("slot") == width, -1).otherwise(F.col("slot")).alias("slot")
+    means = rows.groupBy(slot).agg(F.avg(F.col("error") * F.col("x")).alias("gradient"))
+    values = [(-1, float(model.intercept), 0.0)] + [(i, float(w), regularisation) for i, w in enumerate(model.coefficients)]
+    # A row per slot.
+    weights = scored.sparkSession.createDataFrame(values, "slot int, coefficient double, penalty double")
+    return weights.join(means, "slot").select(
+        "slot", "coefficient", F.abs(F.col("gradient") + F.col("penalty") * F.col("coefficient")).alias("residual")
+    )
 
 
 def fit(
@@ -183,17 +213,18 @@ def fit(
     """Fit one classifier on the training rows of an encoded relation."""
     train = training_rows(encoded)
     started = time.monotonic()
+    search = None
     if name in EARLY_STOPPED:
-        validation = encoded.filter(F.col("split") == "val")
-        model, best, stopped = fit_early_stopped(name, train, validation, overrides, patience)
-        params = {"best_iteration": float(best), "stopped": float(stopped)}
+        grown = boost(encoded, {**PARAMS[name], **(overrides or {})}, patience, SEED)
+        model = grown.model
+        params = {"best_iteration": float(grown.best), "stopped": float(grown.stopped), "rounds_grown": float(len(grown.areas))}
     else:
         if tune:
-            model = grid_search(name, train, grid or GRIDS[name], overrides, folds)
+            model, search = grid_search(name, train, grid or GRIDS[name], overrides, folds)
         else:
             model = classifier(name, overrides).fit(train)
         params = fitted_params(model)
-    return Fitted(name, model, round(time.monotonic() - started, 1), params)
+    return Fitted(name, model, round(time.monotonic() - started, 1), params, search)
 
 
 def fit_all(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators import features as ft
@@ -15,9 +15,10 @@ from ebbtide.operators import models as md
 from ebbtide.operators import normalize as nm
 from ebbtide.operators import reports as rp
 from ebbtide.operators import resample as rs
+from ebbtide.operators import trees as tr
 from ebbtide.operators.scoring import risk_scores
 from ebbtide.plans.evaluation import comparison_table, evaluate, metrics_document, read_document
-from ebbtide.plans.job import as_map, training_facts
+from ebbtide.plans.job import as_map, source_label, training_facts
 from ebbtide.sources import storage
 from ebbtide.sources import testdata as td
 from ebbtide.sources.schemas import CONTRACTS
@@ -79,7 +80,7 @@ def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fit(encoded: DataFrame, *names: str) -> list[md.Fitted]:
     """With the published parameters; encoded rows stay in memory while the models pass over them."""
-    kept = encoded.select("customer_id", "split", "label", "raw_features", "features").persist()
+    kept = encoded.select(*md.TRAINING_COLUMNS).persist()
     try:
         return md.fit_all(names, kept)
     finally:
@@ -441,8 +442,8 @@ def rate_by_tenure(spark, sf_dir):
 
 @query
 def encoded_features(spark, sf_dir):
-    """Where the one-hot ones of each customer are, and the numeric block in front of them."""
-    slots = vector_to_array("raw_features")
+    """Where the one-hot ones of each customer are, the numeric block in front of them, and its scaled values."""
+    slots, scaled = vector_to_array("raw_features"), vector_to_array("features")
     width = len(NUMERIC)
     hot = F.array_compact(
         F.transform(slots, lambda value, i: F.when((i >= width) & (value == 1.0), i))
@@ -452,60 +453,82 @@ def encoded_features(spark, sf_dir):
         F.size(slots).alias("n_slots"),
         *[hot[i].alias(f"{name}_slot") for i, name in enumerate(CATEGORICAL)],
         *[slots[i].alias(name) for i, name in enumerate(NUMERIC)],
+        *[F.round(scaled[i], 6).alias(f"{name}_scaled") for i, name in enumerate(NUMERIC)],
     )
 
 
-def _checked_scores(spark, sf_dir, *names):
-    """What is certain of fitted scores: whose they are, that they are probabilities, and that the fit took place.
+def _node_scores(spark, encoded, fitted):
+    """Encoded rows with ``nodes_<model>``: the probabilities that the node tables of tree models give."""
+    rows = encoded
+    for item in fitted:
+        nodes = storage.through_table(tr.node_table(spark, item.model), storage.scratch_path(spark, "nodes"))
+        rows = tr.probabilities(rows, nodes, tr.kind_of(item.model), f"nodes_{item.name}")
+    return rows
+
 
-    An unpenalised intercept makes the mean probability of the training rows their outcome rate; trees rank them better
-    than chance.
-    """
+def _checked_scores(spark, sf_dir, *names):
+    """Scores of tree models, each held against the walk of its node table, and the number of trees."""
     encoded = _encoded(spark, sf_dir)
-    scored = md.score(encoded, _fit(encoded, *names)).select(
-        "customer_id", "split", F.col("label").cast("int").alias("label"), *[f"prob_{name}" for name in names]
-    )
-    scored = storage.through_table(scored, storage.scratch_path(spark, "model-scores"))
-    train = scored.filter(F.col("split") == "train")
-    if names == ("logistic_regression",):
-        gap = F.abs(F.avg("prob_logistic_regression") - F.avg(F.col("label").cast("double")))
-        fitted = train.agg((gap < 1e-3).alias("fitted"))
-    else:
-        summary = mt.split_summary(mt.rank_groups(mt.score_groups(mt.scored_long(train, list(names)))))
-        fitted = summary.agg((F.min("roc_auc") > 0.5).alias("fitted"))
+    fitted = _fit(encoded, *names)
+    scored = md.score(_node_scores(spark, encoded, fitted), fitted)
+    agree = [F.abs(F.col(f"prob_{name}") - F.col(f"nodes_{name}")) <= 1e-9 for name in names]
     valid = [F.col(f"prob_{name}").between(0.0, 1.0) for name in names]
-    # One row, one value.
-    return scored.select(
-        "customer_id", "split", "label", F.forall(F.array(*valid), lambda ok: ok).alias("valid")
-    ).crossJoin(F.broadcast(fitted))
+    rows = scored.select(
+        "customer_id", "split", F.col("label").cast("int").alias("label"), reduce(lambda a, b: a & b, valid).alias("valid"),
+        reduce(lambda a, b: a & b, agree).alias("as_walked"),
+    )
+    return rows, fitted
 
 
 @query
 def scores_lr(spark, sf_dir):
-    return _checked_scores(spark, sf_dir, "logistic_regression")
+    """Whether the coefficients are the optimum: no slot's gradient, penalty included, is larger than 1e-4."""
+    encoded = _encoded(spark, sf_dir)
+    (fitted,) = _fit(encoded, "logistic_regression")
+    scored = storage.through_table(
+        md.score(encoded.withColumn("x", F.col("features")), [fitted]).withColumnRenamed("x", "features"),
+        storage.scratch_path(spark, "model-scores"),
+    )
+    p = "prob_logistic_regression"
+    residuals = md.stationarity(scored.filter("split = 'train'"), fitted.model, p, fitted.params["regParam"])
+    fits = residuals.agg((F.max("residual") < 1e-4).alias("optimal"), F.count("*").alias("n_weights"))
+    # One row, two values.
+    return scored.select(
+        "customer_id", "split", F.col("label").cast("int").alias("label"), F.col(p).between(0.0, 1.0).alias("valid"),
+    ).crossJoin(F.broadcast(fits))
 
 
 @query
 def scores_rf(spark, sf_dir):
-    return _checked_scores(spark, sf_dir, "random_forest")
+    rows, (fitted,) = _checked_scores(spark, sf_dir, "random_forest")
+    return rows.withColumn("n_trees", F.lit(fitted.model.getNumTrees))
 
 
 @query
 def scores_gbt(spark, sf_dir):
-    return _checked_scores(spark, sf_dir, "gbt")
+    rows, (fitted,) = _checked_scores(spark, sf_dir, "gbt")
+    return rows.withColumn("n_trees", F.lit(fitted.model.getNumTrees))
 
 
 @query
 def scores_gbt_es(spark, sf_dir):
-    return _checked_scores(spark, sf_dir, *md.EARLY_STOPPED)
+    """Both boosted models: their scores, and whether each kept its best rounds and grew few beyond them."""
+    rows, fitted = _checked_scores(spark, sf_dir, *md.EARLY_STOPPED)
+    kept = all(f.model.getNumTrees == f.params["best_iteration"] for f in fitted)
+    stopped = all(f.params["stopped"] or f.params["rounds_grown"] == md.PARAMS[f.name]["maxIter"] for f in fitted)
+    return rows.withColumn("kept_best", F.lit(kept)).withColumn("stopped_or_full", F.lit(stopped))
 
 
 def _search(spark, sf_dir, name):
-    """Cross-validated search over the whole grid; a row per searched parameter."""
-    found = md.fit(name, _encoded(spark, sf_dir), tune=True)
-    return spark.createDataFrame(
-        [(name, param, found.params[param] in [float(v) for v in values]) for param, values in md.GRIDS[name].items()],
-        "model string, parameter string, from_grid boolean",
+    """Cross-validated search over the whole grid: every point with the rows it was judged on and its place."""
+    table = md.fit(name, _encoded(spark, sf_dir), tune=True).search
+    better = F.lag("mean_auc").over(Window.orderBy("rank"))
+    parameters = F.concat_ws(",", F.transform(
+        F.array(*[F.lit(p) for p in md.GRIDS[name]]), lambda p: F.concat_ws("=", p, F.col("parameters")[p].cast("string"))
+    ))
+    return table.select(
+        F.lit(name).alias("model"), "point", parameters.alias("parameters"), "folds", "n", "positives",
+        F.col("mean_auc").between(0.0, 1.0).alias("is_area"), (F.coalesce(better, F.lit(1.0)) >= F.col("mean_auc")).alias("in_order"),
     )
 
 
@@ -526,16 +549,29 @@ def tuned_params_gbt(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    """Per model: how many features are listed, and whether they are slots, in order, with shares of at most 1 in all."""
+    """The listed features of every model: place by place, held against its neighbour and against the node table's shares."""
     encoded = _encoded(spark, sf_dir)
     slots = md.slot_names(encoded)
-    listed = [rp.labelled_importance(md.importance(spark, f, slots)) for f in _fit(encoded, *md.MODELS)]
-    rows = reduce(DataFrame.unionByName, listed)
-    in_order = F.sort_array(F.collect_list("importance"), asc=False)
-    return rows.groupBy("model").agg(
-        F.count("*").alias("n"), F.bool_and(F.col("feature").isin(slots)).alias("slots"),
-        (F.max("importance") == in_order[0]).alias("in_order"),
-        ((F.sum("importance") <= 1.0001) & (F.min("importance") >= 0)).alias("shares"),
+    fitted = _fit(encoded, *md.MODELS)
+    shares = []
+    for item in fitted:
+        listed = rp.labelled_importance(md.importance(spark, item, slots))
+        if item.name == "logistic_regression":
+            weights = [(i, abs(float(w))) for i, w in enumerate(item.model.coefficients)]
+            sizes = spark.createDataFrame(weights, "feature int, size double")
+            own = sizes.crossJoin(F.broadcast(sizes.agg(F.sum("size").alias("total")))).select("feature", (F.col("size") / F.col("total")).alias("share"))
+        else:
+            own = tr.importance_shares(tr.node_table(spark, item.model), tr.kind_of(item.model))
+        names = spark.createDataFrame(list(enumerate(slots)), "feature int, name string")
+        own = own.join(names, "feature").select(F.col("name").alias("feature"), "share")
+        shares.append(listed.join(own, "feature", "left"))
+    rows = reduce(DataFrame.unionByName, shares)
+    by_model = Window.partitionBy("model").orderBy(F.desc("importance"), "feature")
+    return rows.select(
+        "model", F.row_number().over(by_model).alias("rank"),
+        (F.coalesce(F.lag("importance").over(by_model), F.lit(1.0)) >= F.col("importance")).alias("in_order"),
+        (F.abs(F.coalesce("share", F.lit(0.0)) - F.col("importance")) <= 1e-5).alias("as_in_nodes"),
+        (~F.col("label").contains("_")).alias("reads"), F.col("feature").isin(slots).alias("is_slot"),
     )
 
 
@@ -576,6 +612,7 @@ def run_metrics(spark, sf_dir):
         evaluate(mt.scored_long(wide, names)),
         training_facts(spark, fitted, md.slot_names(encoded)),
         snapshot_date=F.lit(td.SPEC.snapshot.isoformat()),
+        raw_source=F.lit(source_label("/data/somewhere/raw/2000-06-30")),
         table_rows=as_map(counts),
         n_features=F.lit(len(NUMERIC) + len(CATEGORICAL)),
         band_cutoffs=as_map({"high": HIGH_CUTOFF, "medium": MEDIUM_CUTOFF}),
@@ -585,10 +622,12 @@ def run_metrics(spark, sf_dir):
     report = read_document(spark, path)
     tuned = F.col(f"e.{mt.TUNED_CUT}.confusion")
     return report.select("*", F.explode("models").alias("model", "e")).select(
-        "snapshot_date", "n_features", *[F.col("table_rows")[t].alias(f"n_{t}") for t in TABLES], "model",
+        "snapshot_date", "raw_source", "n_features", *[F.col("table_rows")[t].alias(f"n_{t}") for t in TABLES], "model",
         "e.display_name", "e.engine", F.size("e.importance").alias("n_importance"),
         (tuned["tp"] + tuned["fp"] + tuned["fn"] + tuned["tn"]).alias("n_test"),
         (F.col("e.roc_auc").between(0, 1) & F.col("e.pr_auc").between(0, 1)).alias("areas"),
         (F.col("e.train_seconds") > 0).alias("timed"),
         ((F.size("e.roc_curve") > 1) & (F.size("e.pr_curve") > 1)).alias("curves"),
+        *[F.col("e.params")[name].alias(name) for name in md.REPORTED_PARAMS],
+        (F.col("e.params")["best_iteration"] >= 1).alias("early_stopped"),
     )

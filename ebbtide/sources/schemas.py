@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -73,13 +73,18 @@ class SchemaError(ValueError):
 
 
 def text_days(df: DataFrame, first_after: date, last: date) -> DataFrame:
-    """Rows whose text dates (``YYYY-MM-DD``) can lie in (first_after, last]; a filter that Parquet readers understand.
+    """Rows whose text dates can lie in (first_after, last]; a filter that Parquet readers understand.
 
-    Only event dates of histories are looked at. Text in another form is kept: it sorts outside digits or is longer.
+    Only event dates of histories are looked at. A cast takes more than YYYY-MM-DD: months and days of one digit, years or
+    months alone, blanks around, zeros in front. All of these begin with the year, or with something that sorts before 1;
+    so the bounds are years, and text that begins outside 1 to 9 is kept, for the cast to take or to refuse. The exact
+    window is cut after the cast.
     """
     for name in EVENT_DAYS:
         if name in df.columns and isinstance(df.schema[name].dataType, T.StringType):
-            df = df.filter((F.col(name) > first_after.isoformat()) & (F.col(name) < (last + timedelta(1)).isoformat()))
+            day = F.col(name)
+            years = (day >= f"{first_after.year:04d}") & (day < f"{last.year + 1:04d}")
+            df = df.filter(years | (day < "1") | (day >= ":"))
     return df
 
 

@@ -77,17 +77,58 @@ def load_catalog(spark: SparkSession, database: str, observed: ObservationSpec |
 def publish_catalog(tables: Tables, database: str, buckets: int) -> None:
     """Save the relations bucketed by customer, so that later aggregations and joins need no shuffle.
 
-    Histories are partitioned by the month of the event, so that a run reads the months it observes.
+    Histories are partitioned by the month of the event, so that a run reads the months it observes. Rows are dealt by
+    month and bucket before they are written: there is one file for each, and a customer with many rows is a task's only
+    within a month.
     """
     for name, df in tables.items():
-        day = next((c for c in EVENT_DAYS if c in df.columns), None)
-        if day:
-            df = df.withColumn(MONTH, (F.year(day) * 12 + F.month(day)).cast("int"))
-        writer = df.write.mode("overwrite").format("parquet")
-        writer = writer.partitionBy(MONTH) if day else writer
+        df = _with_month(df)
+        writer = _dealt(df, buckets).write.mode("overwrite").format("parquet")
+        writer = writer.partitionBy(MONTH) if MONTH in df.columns else writer
         writer.bucketBy(buckets, "customer_id").sortBy("customer_id").saveAsTable(f"{database}.{name}")
 
 
+def replace_months(tables: Tables, database: str, months: list[int]) -> None:
+    """Put the given months of the histories in the place of those in the catalog; all other months stay untouched.
+
+    ``months`` are numbers as in the partition column. A month of which a table has no rows is emptied. Relations without
+    an event date are left as they are.
+    """
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    for name, df in tables.items():
+        rows, target = _with_month(df), f"{database}.{name}"
+        if MONTH not in rows.columns:
+            continue
+        spark = df.sparkSession
+        rows = rows.filter(F.col(MONTH).isin(months)).select(spark.table(target).columns)
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            _dealt(rows, _buckets(spark, target)).write.mode("overwrite").insertInto(target)
+        finally:
+            spark.conf.set(mode, before)
+        # As many rows as months were named.
+        present = {row[0] for row in rows.select(MONTH).distinct().collect()}
+        for month in set(months) - present:
+            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({MONTH} = {int(month)})")
+
+
+def _with_month(df: DataFrame) -> DataFrame:
+    day = next((c for c in EVENT_DAYS if c in df.columns), None)
+    return df.withColumn(MONTH, (F.year(day) * 12 + F.month(day)).cast("int")) if day else df
+
+
+def _dealt(df: DataFrame, buckets: int) -> DataFrame:
+    """All rows of a bucket, and of a month where there is one, in one task; the bucket is the one Spark writes to."""
+    bucket = F.pmod(F.hash("customer_id"), F.lit(buckets))
+    return df.repartition(*([MONTH] if MONTH in df.columns else []), bucket)
+
+
+def _buckets(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
+    return int(described.data_type)
+
+
 def register(tables: Tables) -> Tables:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

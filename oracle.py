@@ -444,15 +444,42 @@ MODELS = {
     "gbt": "Gradient Boosted Trees (MLlib)", "boosted_deep": "Early-stopped boosting, depth 5 (MLlib)",
     "boosted_shallow": "Early-stopped boosting, depth 4 (MLlib)",
 }
-_CHECKED = _with(*BASE, then="SELECT customer_id, split, label, TRUE AS valid, TRUE AS fitted FROM features")
 
 
-def _searched(model: str, *parameters: str) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{model}' AS model, '{parameter}' AS parameter, TRUE AS from_grid" for parameter in parameters
+def _checked(columns: str) -> str:
+    return _with(*BASE, then=f"SELECT customer_id, split, label, TRUE AS valid, {columns} FROM features")
+
+
+def _searched(model: str, *points: str) -> str:
+    """Every training row is judged once by every grid point."""
+    return _with(*BASE, then=" UNION ALL ".join(
+        f"SELECT '{model}' AS model, CAST({i} AS INT) AS point, '{point}' AS parameters, CAST(3 AS BIGINT) AS folds, "
+        "COUNT(*) AS n, CAST(SUM(label) AS BIGINT) AS positives, TRUE AS is_area, TRUE AS in_order FROM features WHERE split = 'train'"
+        for i, point in enumerate(points)
+    ))
+
+
+# Hyper-parameters as the run report shows them.
+_REPORTED = {
+    "logistic_regression": {"regParam": 0.01, "elasticNetParam": 0, "maxIter": 100}, "random_forest": {"maxDepth": 8, "numTrees": 100},
+    "gbt": {"maxIter": 100, "maxDepth": 5, "stepSize": 0.1}, "boosted_deep": {}, "boosted_shallow": {},
+}
+_PARAMETERS = ("regParam", "elasticNetParam", "maxIter", "maxDepth", "numTrees", "stepSize")
+
+
+def _reported(model: str) -> str:
+    known = _REPORTED[model]
+    return ", ".join(f"CAST({known.get(name, 'NULL')} AS DOUBLE) AS {name}" for name in _PARAMETERS) + (
+        f", {'CAST(NULL AS BOOLEAN)' if known else 'TRUE'} AS early_stopped"
     )
 
 
+def _scaled(column: str) -> str:
+    """By the standard deviation of the training rows; a constant column is 0."""
+    deviation = f"(SELECT stddev_samp({column}) FROM features WHERE split = 'train')"
+    return f"round(COALESCE({column} / NULLIF({deviation}, 0), 0E0), 6) AS {column}_scaled"
+
+
 _COLUMN_KINDS = {
     "customers": ("customer_id signup_date age region contract plan internet_service payment_method monthly_charges churned",
                   "customer_id age monthly_charges churned"),
@@ -478,15 +505,22 @@ SQL: dict[str, str] = {
         then="SELECT customer_id, CASE WHEN bucket < 70 THEN 'train' WHEN bucket < 85 THEN 'val' ELSE 'test' END AS split "
         "FROM xbuckets",
     ),
-    "scores_lr": _CHECKED,
-    "scores_rf": _CHECKED,
-    "scores_gbt": _CHECKED,
-    "scores_gbt_es": _CHECKED,
-    "tuned_params": _searched("logistic_regression", "regParam", "elasticNetParam"),
-    "tuned_params_rf": _searched("random_forest", "maxDepth", "numTrees"),
-    "tuned_params_gbt": _searched("gbt", "maxDepth", "maxIter"),
+    "scores_lr": _with(
+        *BASE, *[_slot(c) for c in CATEGORIES],
+        then="SELECT customer_id, split, label, TRUE AS valid, TRUE AS optimal, "
+        f"CAST({_slot_offset(len(CATEGORIES))} + 1 AS BIGINT) AS n_weights FROM features",
+    ),
+    "scores_rf": _checked("TRUE AS as_walked, CAST(100 AS INT) AS n_trees"),
+    "scores_gbt": _checked("TRUE AS as_walked, CAST(100 AS INT) AS n_trees"),
+    "scores_gbt_es": _checked("TRUE AS as_walked, TRUE AS kept_best, TRUE AS stopped_or_full"),
+    "tuned_params": _searched(
+        "logistic_regression", *[f"regParam={r},elasticNetParam={e}" for r in ("0.001", "0.01", "0.1") for e in ("0.0", "0.5")]
+    ),
+    "tuned_params_rf": _searched("random_forest", *[f"maxDepth={d}.0,numTrees={t}.0" for d in (6, 8) for t in (60, 100)]),
+    "tuned_params_gbt": _searched("gbt", *[f"maxDepth={d}.0,maxIter={i}.0" for d in (3, 5) for i in (60, 120)]),
     "feature_importance": " UNION ALL ".join(
-        f"SELECT '{m}' AS model, CAST(15 AS BIGINT) AS n, TRUE AS slots, TRUE AS in_order, TRUE AS shares" for m in MODELS
+        f"SELECT '{m}' AS model, CAST(r AS INT) AS rank, TRUE AS in_order, TRUE AS as_in_nodes, TRUE AS reads, TRUE AS is_slot "
+        "FROM range(1, 16) AS ranks(r)" for m in MODELS
     ),
     "scored_customers": _with(
         *BASE,
@@ -496,12 +530,13 @@ SQL: dict[str, str] = {
     "run_metrics": _with(
         *BASE,
         then=" UNION ALL ".join(
-            "SELECT '2000-06-30' AS snapshot_date, CAST(36 AS INT) AS n_features, "
+            "SELECT '2000-06-30' AS snapshot_date, 'raw/2000-06-30' AS raw_source, CAST(36 AS INT) AS n_features, "
             + ", ".join(
                 f"(SELECT COUNT(*) FROM {t}) AS n_{t}" for t in ("customers", "usage", "payments", "tickets", "service_calls")
             )
             + f", '{m}' AS model, '{shown}' AS display_name, 'Spark MLlib' AS engine, CAST(15 AS INT) AS n_importance, "
-            "(SELECT COUNT(*) FROM features WHERE split = 'test') AS n_test, TRUE AS areas, TRUE AS timed, TRUE AS curves"
+            "(SELECT COUNT(*) FROM features WHERE split = 'test') AS n_test, TRUE AS areas, TRUE AS timed, TRUE AS curves, "
+            + _reported(m)
             for m, shown in MODELS.items()
         ),
     ),
@@ -666,7 +701,8 @@ chosen AS (
     "encoded_features": _with(
         *BASE, *[_slot(c) for c in CATEGORIES],
         then=f"SELECT customer_id, CAST({_slot_offset(len(CATEGORIES))} AS INT) AS n_slots, "
-        f"{', '.join(_slot_of(i) for i in range(len(CATEGORIES)))}, {', '.join(NUMBERS)} FROM features "
+        f"{', '.join(_slot_of(i) for i in range(len(CATEGORIES)))}, {', '.join(NUMBERS)}, "
+        f"{', '.join(_scaled(c) for c in NUMBERS)} FROM features "
         + " ".join(f"LEFT JOIN {c}_slots USING ({c})" for c in CATEGORIES),
     ),
 }

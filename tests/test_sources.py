@@ -98,10 +98,75 @@ def test_window_reaches_the_scan_of_text_dates(spark, relations, tmp_path):
         df.withColumns(days).write.parquet(str(tmp_path / f"{name}.parquet"))
     loaded = tb.load_tables(spark, str(tmp_path), observed=td.SPEC)
     plan = ft.payment_features(loaded["payments"], td.SPEC)._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(due_date,1997-06-30)" in plan and "LessThan(due_date,2000-07-01)" in plan
+    pushed = plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(due_date,1997)" in pushed and "LessThan(due_date,2001)" in pushed
     assert ft.feature_table(loaded, td.SPEC).exceptAll(ft.feature_table(relations, td.SPEC)).count() == 0
 
 
+@pytest.mark.parametrize("snapshot", [date(2025, 12, 31), date(2025, 9, 30)])
+def test_text_dates_in_other_forms_count_as_well(spark, relations, tmp_path, snapshot):
+    forms = [" 2025-08-01", "2025-8-1", "2025-7-15", "2025-07-15 ", "2025-07", "2025", "02025-07-15", "\t2025-07-15", "2025-07-15", "2019-01-01", "12025-01-01"]
+    spec = replace(td.SPEC, snapshot=snapshot)
+    for name, df in relations.items():
+        if name == "payments":
+            rows = [(1 + i % 2, day, 10.0 + i, i) for i, day in enumerate(forms)]
+            df = spark.createDataFrame(rows, "customer_id bigint, due_date string, amount double, days_late bigint").withColumn("paid_date", F.col("due_date"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    cut, whole = (ft.payment_features(tb.load_tables(spark, str(tmp_path), observed=spec_)["payments"], spec) for spec_ in (spec, None))
+    assert cut.exceptAll(whole).count() == 0 and whole.exceptAll(cut).count() == 0
+    assert whole.agg(F.sum("late_payments")).first()[0] > 3
+
+
+def test_text_that_is_no_date_is_still_an_error(spark, relations, tmp_path):
+    for name, df in relations.items():
+        if name == "payments":
+            df = df.withColumn("due_date", F.lit("unknown"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    loaded = tb.load_tables(spark, str(tmp_path), observed=td.SPEC)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        loaded["payments"].agg(F.count("due_date")).collect()
+
+
+def catalog_files(spark, table):
+    """Month, bucket and number of files; the bucket is in the name of a file."""
+    path = F.input_file_name()
+    bucket = F.regexp_extract(path, "_(\\d{5})\\.", 1)
+    return spark.table(table).groupBy(tb.MONTH, bucket.alias("bucket")).agg(F.countDistinct(path).alias("files"), F.min(path).alias("name"))
+
+
+def test_one_file_a_bucket_and_month(spark, relations):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ebb_files")
+    try:
+        tb.publish_catalog(relations, "ebb_files", buckets=3)
+        files = catalog_files(spark, "ebb_files.payments")
+        assert files.agg(F.max("files"), F.count("*")).first()[0] == 1
+        assert files.select(tb.MONTH).distinct().count() > 12 and files.select("bucket").distinct().count() == 3
+    finally:
+        spark.sql("DROP DATABASE ebb_files CASCADE")
+
+
+def test_a_month_is_replaced_and_the_others_are_not_touched(spark, relations):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ebb_replaced")
+    try:
+        tb.publish_catalog(relations, "ebb_replaced", buckets=2)
+        before = {(r[tb.MONTH], r.bucket): r.name for r in catalog_files(spark, "ebb_replaced.payments").collect()}
+        months = sorted({month for month, _ in before})
+        one, emptied = months[3], months[5]
+        in_month = F.year("due_date") * 12 + F.month("due_date")
+        changed = relations["payments"].withColumn("amount", F.lit(1.0)).filter(in_month != emptied)
+        tb.replace_months({**relations, "payments": changed}, "ebb_replaced", [one, emptied])
+        after = {(r[tb.MONTH], r.bucket): r.name for r in catalog_files(spark, "ebb_replaced.payments").collect()}
+        assert {key for key in before if before[key] != after.get(key)} == {key for key in before if key[0] in (one, emptied)}
+        now = spark.table("ebb_replaced.payments")
+        want = relations["payments"].withColumn("amount", F.when(in_month == one, 1.0).otherwise(F.col("amount"))).filter(in_month != emptied)
+        now = now.select(want.columns)
+        assert now.exceptAll(want).count() == 0 and want.exceptAll(now).count() == 0
+        features = ft.payment_features(tb.load_catalog(spark, "ebb_replaced")["payments"], td.SPEC)
+        assert "Exchange" not in features._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql("DROP DATABASE ebb_replaced CASCADE")
+
+
 def test_catalog_reads_the_observed_months_alone(spark, relations):
     spark.sql("CREATE DATABASE IF NOT EXISTS ebb_months")
     try:
