@@ -32,7 +32,7 @@ COVERED = 50  # percent of its occurrences inside a longer one, from which a phr
 SCALE = 1_000_000
 TOP = 2_000  # phrases of a language
 BUCKET_ROWS = 3_000_000
-EXACT_ROWS = 200_000  # frequent groups that are broadcast one by one
+EXACT_ROWS = 500_000  # frequent groups that are broadcast one by one
 SIEVE_ROWS, SIEVE_WORDS = 1 << 19, 8  # of 64 bits: 32 MB
 _BREAK = "[.,;:!?\\n-\\r]"
 _WIDE = "decimal(16,0)"  # products of two, times SCALE, stay within 38 digits
