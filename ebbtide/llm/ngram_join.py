@@ -4,17 +4,20 @@ A document is the set of its distinct word n-grams. Sizes are cut into bands; wi
 the number k of n-grams by which two sets may differ. The n-grams are dealt into n1 partitions by a hash; as k < 2 * n1,
 some partition holds at most one difference. Each partition is dealt into n2 parts, and a signature is a hash of all
 parts but one, for every choice of the one: two sets within k share a signature. A set also signs for the next band if
-a partner could be there. A signature that covers no n-gram would gather strangers; ``spare`` further partitions make
-up for up to as many that have one, so those are left out (a set with more keeps them all, so no pair is lost).
+a partner could be there. The width of the bands and n2 are chosen so that a signature covers several n-grams, for any
+similarity. A signature that covers none would gather strangers; ``spare`` further partitions make up for up to as many
+that have one, so those are left out (a set with more keeps them all, so no pair is lost).
 
-Equal sets are reduced to their smallest id. Within a batch the holders of a signature are tied to the first of them
-and only that one goes on, so that a signature of a third of all documents reaches the shuffle as one row per batch.
-Ties give families of possible partners. Exact similarities are then taken within families, in blocks of bounded size
-that return one spanning link per document: first within blocks, then among the heads that are left, and last between
-the documents outside a family's largest group and all its members. No pair is written out, and none is skipped.
+Holders of one signature are compared inside their bucket, by sketches: counts of the n-grams in cells of their hash,
+a quarter as many cells as n-grams. The differences of the counts add up to no more than the n-grams by which two sets
+differ, so a pair whose sum is too large is not similar, for certain; strangers are far beyond. Pairs that pass are ties,
+and tied sets a family. Exact similarities are then taken within families. Both comparisons go by blocks of bounded size
+that return one spanning link per set: first within blocks, then among the heads that are left, and last between the
+sets outside a group's largest part and all its members. No pair is written out, and none is skipped.
 
-``sure`` is the similarity (percent) from which a link is certain to be found; it may be set above ``percent`` to save
-signatures, links between the two are then found with a probability that grows with the size of the sets.
+Equal sets are one, named by its smallest id. Where rows of one id have different sets, the sets are told apart by their
+digests, and every row has its own component. ``sure`` is the similarity (percent) from which a link is certain to be
+found; it may be set above ``percent`` to save signatures, links between the two are then found by chance.
 
 Ids are whole numbers. Null and empty texts have no n-grams and link with nothing, nor do rows without an id; a text
 with fewer words than n is one n-gram. Repeated rows are equal sets. Other columns are not looked at.
@@ -33,17 +36,21 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.llm.components import connected, local_roots
+from ebbtide.llm.workers import small
 from ebbtide.sources.storage import scratch_path, through_table
 
 WORDS, PERCENT = 3, 90
 BLOCK_ROWS, BLOCK_NGRAMS = 1024, 4_000_000
-BROADCAST_ROWS = 1_000_000
 GROUP_CHARS = 4_000_000
 MAX_WORDS_KEPT = 1_000_000
-BAND_STEPS = 3
+# Widths of bands and least numbers of parts to choose from, those with the fewest signatures first.
+WIDTHS = ((3, 3), (2, 3), (1, 3), (1, 4))
+COVERED = 5  # n-grams that a signature should cover
 WEAK_SHARE = 1e-4
+CELL_NGRAMS, MIN_CELLS, MAX_CELLS, MAX_COUNT = 4, 16, 4096, 127
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _U = np.uint64
 
@@ -94,9 +101,19 @@ class Band(NamedTuple):
     spare: int
 
 
-def _shape(k: int, least: float) -> tuple[int, int, int]:
+def _widths(sure: int) -> tuple[int, int]:
+    """Steps of a band and least parts of a partition, so that a signature covers enough n-grams of a set."""
+    share = sure / 100
+    for steps, parts in WIDTHS:
+        differences = 2 * (1 - share) / (1 + share) / share**steps  # per n-gram of the smallest set of a band
+        if 2 / max(differences, 1e-9) * (parts - 1) / parts >= COVERED:
+            break
+    return steps, parts
+
+
+def _shape(k: int, least: float, least_parts: int) -> tuple[int, int, int]:
     """Partitions, parts and spare partitions for k differences and sets of at least ``least`` n-grams."""
-    parts = 8 if k == 1 else 6 if k < 4 else 4 if k < 8 else 3
+    parts = 8 if k == 1 else 6 if k < 4 else 4 if k < 8 else least_parts
     need = k // 2 + 1
     for spare in range(need + 1):
         covered = least / (need + spare) * (parts - 1) / parts
@@ -111,10 +128,11 @@ def _shape(k: int, least: float) -> tuple[int, int, int]:
 def bands(sure: int, largest: int) -> tuple[Band, ...]:
     """Bands of sizes up to at least ``largest``; ``partitions`` is 0 where only equal sets are that similar."""
     share, low, out = sure / 100, 1, []
+    steps, least_parts = _widths(sure)
     while not out or out[-1].high < largest:
-        high = max(low, math.floor(low / share**BAND_STEPS))
+        high = max(low, math.floor(low / share**steps))
         k = 2 * high * (100 - sure) // (100 + sure)
-        shape = _shape(k, low * share) if k else (0, 1, 0)
+        shape = _shape(k, low * share, least_parts) if k else (0, 1, 0)
         out.append(Band(low, high, len(out), *shape))
         low = high + 1
     return tuple(out)
@@ -152,17 +170,32 @@ def signatures(sets: list[np.ndarray], sure: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(keys), np.concatenate(owners)
 
 
-def tie(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Leaves each key with its smallest id; other holders share a key of their own with that id."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, bool)
-    heads = ids[first][np.cumsum(first) - 1] if len(keys) else ids
-    pairs = np.unique(np.stack([heads[~first], ids[~first]]), axis=1)
-    pairs = pairs[:, pairs[0] != pairs[1]]
-    own = lambda x: mix(x.astype(np.uint64) ^ _U(0xA0761D6478BD642F))
-    heads = np.unique(pairs[0])
-    return np.concatenate([keys[first], own(heads), own(pairs[0])]), np.concatenate([ids[first], heads, pairs[1]])
+# ---- sketches
+
+
+def sketch(grams: np.ndarray) -> bytes:
+    """Counts of the n-grams in equal cells of their hash; more cells for larger sets, a power of two."""
+    bits = max(MIN_CELLS, min(MAX_CELLS, -(-len(grams) // CELL_NGRAMS)) - 1).bit_length()
+    cells = (mix(grams ^ _U(0x8BB84B93962EACC9)) >> _U(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=1 << bits), MAX_COUNT).astype(np.uint8).tobytes()
+
+
+def sketch_table(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of counts, folded to the fewest cells among them; neighbouring cells add up."""
+    width = min(map(len, sketches))
+    rows = [np.frombuffer(s, np.uint8).astype(np.int16).reshape(width, -1).sum(axis=1) for s in sketches]
+    return np.stack(rows).astype(np.int16)
+
+
+def possible(left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that may be similar enough, from a lower bound of the n-grams by which their sets differ."""
+    found = np.zeros((len(left), len(right)), bool)
+    step = max(1, 2_000_000 // max(1, right.size))
+    for at in range(0, len(left), step):
+        apart = np.abs(left[at : at + step, None, :] - right[None, :, :]).sum(axis=2, dtype=np.int64)
+        both = left_sizes[at : at + step, None] + right_sizes[None, :]
+        found[at : at + step] = (100 + percent) * apart <= (100 - percent) * both
+    return found
 
 
 # ---- jobs over the documents
@@ -182,64 +215,75 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
             yield ids, texts
 
 
+def _digest(grams: np.ndarray) -> tuple[int, int]:
+    """The two signed halves of a set's 128-bit digest."""
+    value = xxhash.xxh3_128_intdigest(grams.tobytes())
+    return (value & (1 << 64) - 1) - (1 << 63), (value >> 64) - (1 << 63)
+
+
 def set_digests(docs: DataFrame, words: int) -> DataFrame:
-    """(id, n_ngrams, k1, k2): size and 128-bit digest of every set; no digest for an empty set or a null id."""
+    """(id, n_ngrams, k1, k2, sketch): size, digest and sketch of every set; only the size of an empty set or a null id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in _groups(batches):
             sets = [ngram_set(text, words) for text in texts]
-            digests = [
-                xxhash.xxh3_128_intdigest(s.tobytes()) if len(s) and i is not None else None for i, s in zip(ids, sets)
-            ]
-            signed = lambda x: x - (1 << 63)
-            low, high = ([None if d is None else signed(d >> shift & (1 << 64) - 1) for d in digests] for shift in (0, 64))
-            columns = [ids, [len(s) for s in sets], low, high]
+            named = [len(grams) > 0 and i is not None for i, grams in zip(ids, sets)]
+            digests = [_digest(grams) if ok else (None, None) for ok, grams in zip(named, sets)]
+            sketches = [sketch(grams) if ok else None for ok, grams in zip(named, sets)]
+            columns = [ids, [len(grams) for grams in sets], [d[0] for d in digests], [d[1] for d in digests]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["id", "n_ngrams", "k1", "k2"]
+                [*(pa.array(c, pa.int64()) for c in columns), pa.array(sketches, pa.binary())],
+                names=["id", "n_ngrams", "k1", "k2", "sketch"],
             )
 
-    return docs.mapInArrow(run, "id bigint, n_ngrams bigint, k1 bigint, k2 bigint")
+    return docs.mapInArrow(run, "id bigint, n_ngrams bigint, k1 bigint, k2 bigint, sketch binary")
 
 
 def signature_rows(docs: DataFrame, words: int, sure: int) -> DataFrame:
-    """(key, id): the signatures of the documents, tied within each batch."""
+    """(key, node) of documents (id, text, several): the signatures of their sets, each set once a batch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _groups(batches):
-            seen, kept, sets = set(), [], []
-            for i, text in zip(ids, texts):
-                found = ngram_set(text, words) if i is not None else ()
-                digest = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
-                if digest is not None and digest not in seen:  # equal sets are linked by their digests
-                    seen.add(digest)
-                    kept.append(i)
-                    sets.append(found)
-            keys, owners = signatures(sets, sure)
-            keys, owners = tie(keys, np.array(kept, np.int64)[owners])
-            for at in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at : at + 100_000].view(np.int64)), pa.array(owners[at : at + 100_000])],
-                    names=["key", "id"],
-                )
+    The node is the id, or the digest of the set where rows of the id have several sets.
+    """
 
-    return docs.mapInArrow(run, "key bigint, id bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            several = {i for i, flag in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()) if flag}
+            for ids, texts in _groups([batch]):
+                seen, nodes, sets = set(), [], []
+                for i, text in zip(ids, texts):
+                    grams = ngram_set(text, words) if i is not None else ()
+                    digest = _digest(grams) if len(grams) else None
+                    if digest is not None and digest not in seen:  # equal sets are known by their digests
+                        seen.add(digest)
+                        nodes.append(digest[0] if i in several else i)
+                        sets.append(grams)
+                keys, owners = signatures(sets, sure)
+                holders = np.array(nodes, np.int64)[owners]
+                for at in range(0, len(keys), 100_000):
+                    # Six bytes of a key: others only bring strangers together, and they shuffle for less.
+                    part = (keys[at : at + 100_000] >> _U(16)).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(holders[at : at + 100_000])], names=["key", "node"])
+
+    return docs.select("id", "text", "several").mapInArrow(run, "key bigint, node bigint")
 
 
 def family_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(family, id, n, ngrams) of documents (family, id, text)."""
+    """(family, id, n, ngrams) of documents (family, node, k1, text) whose set has the digest k1; the id is the node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [ngram_set(value.as_py() or "", words) for value in part.column(2)]
+                sets = [ngram_set(value.as_py() or "", words) for value in part.column(3)]
+                own = pa.array([len(s) > 0 and _digest(s)[0] == k for s, k in zip(sets, part.column(2).to_pylist())], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["family", "id", "n", "ngrams"],
-                )
+                ).filter(own)
 
-    return docs.select("family", "id", "text").mapInArrow(run, "family bigint, id bigint, n bigint, ngrams binary")
+    schema = "family bigint, id bigint, n bigint, ngrams binary"
+    return docs.select("family", "node", "k1", "text").mapInArrow(run, schema)
 
 
 def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -264,32 +308,51 @@ def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def compare(group: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Spanning links of a group; with rows marked ``outside``, only pairs of such a row with another row count."""
-    group = group.sort_values(["outside", "id"], ascending=[False, True], ignore_index=True)
-    n_out = int(group["outside"].sum()) or len(group)
-    left, sizes = list(group["ngrams"][:n_out]), group["n"].to_numpy()
-    right = list(group["ngrams"]) if n_out == len(group) else list(group["ngrams"][n_out:])
-    offset = 0 if n_out == len(group) else n_out
-    common = overlaps(left, right)
-    union = sizes[:n_out, None] + sizes[offset:][None, :] - common
+def similar(group: pd.DataFrame, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of the first ``rows`` sets with the others (all, if none are left) that are similar enough."""
+    sizes, grams = group["n"].to_numpy(), list(group["ngrams"])
+    offset = rows if rows < len(group) else 0
+    common = overlaps(grams[:rows], grams[offset:])
+    union = sizes[:rows, None] + sizes[offset:][None, :] - common
     x, y = np.nonzero((100 * common >= percent * union) & (union > 0))
-    y = y + offset
-    ids = group["id"].to_numpy()
+    return x, y + offset
+
+
+def alike(group: pd.DataFrame, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``similar``, of the pairs whose sketches do not rule it out."""
+    sizes, table = group["n"].to_numpy(), sketch_table(list(group["ngrams"]))
+    offset = rows if rows < len(group) else 0
+    x, y = np.nonzero(possible(table[:rows], sizes[:rows], table[offset:], sizes[offset:], percent))
+    return x, y + offset
+
+
+def spanning(ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One link to the smallest id for every id that the pairs (x, y) of positions connect to a smaller one."""
     order = np.argsort(ids, kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(ids))
     root = local_roots(len(ids), rank[x], rank[y])
     ids = ids[order]
     linked = ids != ids[root]
-    return pd.DataFrame({"a": ids[linked], "b": ids[root[linked]]})
+    return ids[linked], ids[root[linked]]
 
 
-def _links(groups: DataFrame, keys: list[str], percent: int) -> DataFrame:
+def compare(group: pd.DataFrame, pairs, percent: int) -> pd.DataFrame:
+    """Spanning links of a group; with rows marked ``outside``, only pairs of such a row with another row count."""
+    group = group.sort_values(["outside", "id"], ascending=[False, True], ignore_index=True)
+    a, b = spanning(group["id"].to_numpy(), *pairs(group, int(group["outside"].sum()) or len(group), percent))
+    return pd.DataFrame({"a": a, "b": b})
+
+
+def _tasks(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _links(groups: DataFrame, keys: list[str], pairs, percent: int) -> DataFrame:
     spark = groups.sparkSession
-    found = groups.select(*keys, "id", "n", "ngrams", "outside").groupBy(*keys).applyInPandas(
-        lambda group: compare(group, percent), "a bigint, b bigint"
-    )
+    # By a given number: what a join before has dealt out by family alone is dealt again, by block.
+    dealt = groups.select(*keys, "id", "n", "ngrams", "outside").repartition(_tasks(groups), *keys)
+    found = dealt.groupBy(*keys).applyInPandas(lambda group: compare(group, pairs, percent), "a bigint, b bigint")
     return through_table(found, scratch_path(spark, "ngram-links"))
 
 
@@ -301,12 +364,12 @@ def _blocks(members: DataFrame, name: str) -> DataFrame:
     return members.join(sizes, "family").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
 
 
-def verified_links(members: DataFrame, percent: int) -> DataFrame:
-    """Spanning links (a, b) of all pairs within families (family, id, n, ngrams) that are similar enough."""
+def verified_links(members: DataFrame, percent: int, pairs=similar) -> DataFrame:
+    """Spanning links (a, b) of all pairs within families (family, id, n, ngrams) that ``pairs`` finds."""
     spark = members.sparkSession
     inside = F.lit(False).alias("outside")
     placed = _blocks(members, "block")
-    links = _links(placed.select("*", inside), ["family", "block"], percent)
+    links = _links(placed.select("*", inside), ["family", "block"], pairs, percent)
     large = placed.filter("blocks > 1")
     if large.isEmpty():
         return links
@@ -314,7 +377,7 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
     found = connected(links).withColumnRenamed("component", "head")
     headed = lambda rows, groups: rows.join(groups, "id", "left").withColumn("head", F.coalesce("head", "id"))
     heads = headed(large.select("family", "id", "n", "ngrams"), found).filter("id = head")
-    links = links.unionByName(_links(_blocks(heads, "block").select("*", inside), ["family", "block"], percent))
+    links = links.unionByName(_links(_blocks(heads, "block").select("*", inside), ["family", "block"], pairs, percent))
     found = connected(links).withColumnRenamed("component", "head")
     rest = headed(large.select("family", "id", "n", "ngrams", "block", "blocks"), found)
     counts = rest.groupBy("family", "head").agg(F.count("*").alias("members"))
@@ -332,7 +395,46 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
     columns = columns.withColumn("outside", F.lit(False))
     shared = ["family", "row", "block", "id", "n", "ngrams", "outside"]
     met = rows.select(*shared).unionByName(columns.select(*shared))
-    return links.unionByName(_links(met, ["family", "row", "block"], percent))
+    return links.unionByName(_links(met, ["family", "row", "block"], pairs, percent))
+
+
+def bucket_links(buckets: DataFrame, percent: int) -> DataFrame:
+    """Spanning links (a, b) of the pairs within buckets (family, id, n, ngrams, held) that their sketches allow.
+
+    Most buckets have a few holders; those of a partition are gone through in order. Large ones go by blocks.
+    """
+    spark = buckets.sparkSession
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            ends = np.flatnonzero(np.diff(rows["family"].to_numpy())) + 1
+            if len(ends):
+                yield _in_order(rows[: ends[-1]], ends[:-1], percent)
+                rows = rows[ends[-1] :]
+            rest = rows.reset_index(drop=True)
+        if rest is not None and len(rest):
+            yield _in_order(rest, np.empty(0, np.int64), percent)
+
+    few = buckets.filter(F.col("held") <= BLOCK_ROWS).select("family", "id", "n", "ngrams")
+    few = few.repartition(_tasks(buckets), "family").sortWithinPartitions("family")
+    links = through_table(few.mapInPandas(run, "a bigint, b bigint"), scratch_path(spark, "bucket-links"))
+    many = buckets.filter(F.col("held") > BLOCK_ROWS).drop("held")
+    return links if many.isEmpty() else links.unionByName(verified_links(many, percent, alike))
+
+
+def _in_order(rows: pd.DataFrame, ends: np.ndarray, percent: int) -> pd.DataFrame:
+    """Links of whole buckets, which lie one after another."""
+    ids, sizes, sketches = rows["id"].to_numpy(), rows["n"].to_numpy(), list(rows["ngrams"])
+    left, right = [], []
+    for start, end in zip([0, *ends], [*ends, len(rows)]):
+        table = sketch_table(sketches[start:end])
+        x, y = np.nonzero(possible(table, sizes[start:end], table, sizes[start:end], percent))
+        a, b = spanning(ids[start:end], x, y)
+        left.append(a)
+        right.append(b)
+    return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)}).drop_duplicates()
 
 
 def near_duplicate_groups(
@@ -340,35 +442,91 @@ def near_duplicate_groups(
     text_column: str = "text",
 ) -> DataFrame:
     """Per row: id, ``n_shingles``, ``component_id`` (smallest id reachable over links, itself included)."""
+    rows = document_groups(docs, words, percent, sure, id_column, text_column)
+    return rows.select(F.col("id").alias(id_column), F.col("n_ngrams").alias("n_shingles"), "component_id")
+
+
+def document_groups(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sure: int | None = None, id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """(id, n_ngrams, k1, k2, group, component_id) of every row.
+
+    k1 and k2 are the digest of its set and ``group`` is the number of its component, null without a set. Components are
+    named by their smallest id, which is the group's number unless rows of one id have different sets.
+    """
     spark, sure = docs.sparkSession, max(percent, sure or percent)
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     digests = through_table(set_digests(source, words), scratch_path(spark, "ngram-sets"))
-    reps = digests.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("id").alias("rep"))
-    rep_of = digests.join(reps, ["k1", "k2"], "left").select("id", "n_ngrams", F.coalesce("rep", "id").alias("rep"))
-    rep_of = through_table(rep_of, scratch_path(spark, "ngram-reps"))
-
-    keys = signature_rows(source, words, sure)
-    head = F.min("id").over(Window.partitionBy("key"))
-    ties = keys.withColumn("head", head).filter("id <> head").select("head", "id").distinct()
-    ties = through_table(ties, scratch_path(spark, "ngram-ties"))
-    distinct = rep_of.select("id", "rep").distinct()
-    ties = (
-        ties.join(distinct.select(F.col("id").alias("head"), F.col("rep").alias("a")), "head")
-        .join(distinct.select("id", F.col("rep").alias("b")), "id").select("a", "b")
-    )
-    families = connected(ties).select("id", F.col("component").alias("family"))
-    families = through_table(families, scratch_path(spark, "ngram-families"))
+    # Ids whose rows have different sets; seldom any.
+    several = digests.filter("k1 IS NOT NULL").select("id", "k1", "k2").distinct().groupBy("id").count()
+    several = through_table(several.filter("count > 1").select("id", F.lit(True).alias("several")), scratch_path(spark, "ngram-several"))
+    named = digests.join(small(several), "id", "left").withColumn("node", F.when(F.col("several"), F.col("k1")).otherwise(F.col("id")))
+    reps = named.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("node").alias("rep"), F.min("id").alias("least"))
+    sets = named.join(reps, ["k1", "k2"], "left").select("id", "n_ngrams", "k1", "k2", "node", "rep", "least", "sketch")
+    sets = through_table(sets, scratch_path(spark, "ngram-reps"))
+
+    keys = signature_rows(source.join(small(several), "id", "left"), words, sure)
+    held = keys.withColumn("held", F.count("*").over(Window.partitionBy("key"))).filter("held > 1").drop("held")
+    held = through_table(held, scratch_path(spark, "ngram-holders"))
+    nodes = sets.filter("rep IS NOT NULL").select("node", "rep").distinct()
+    held = held.join(nodes, "node").select(F.col("key").alias("family"), F.col("rep").alias("id")).distinct()
+    counts = held.groupBy("family").agg(F.count("*").alias("held")).filter("held > 1")
+    one = sets.filter("node = rep").groupBy("rep").agg(
+        F.first("n_ngrams").alias("n"), F.first("sketch").alias("ngrams"), F.first("k1").alias("k1"), F.first("id").alias("text_id")
+    ).withColumnRenamed("rep", "id")
+    buckets = held.join(counts, "family").join(one.select("id", "n", "ngrams"), "id")
+    buckets = through_table(buckets, scratch_path(spark, "ngram-buckets"))
+    families = connected(bucket_links(buckets, percent)).select(F.col("id").alias("node"), F.col("component").alias("family"))
+    listed = families.join(one.select(F.col("id").alias("node"), "k1", F.col("text_id").alias("id")), "node")
+    listed = through_table(listed, scratch_path(spark, "ngram-families"))
     # A small list of members spares the shuffle of all texts; a long one is joined by shuffle.
-    listed = F.broadcast(families) if families.count() <= BROADCAST_ROWS else families
-    texts = source.join(listed, "id").dropDuplicates(["id"]) if _repeats(rep_of) else source.join(listed, "id")
-    members = through_table(family_sets(texts, words), scratch_path(spark, "ngram-members"))
+    members = family_sets(source.join(small(listed), "id"), words).dropDuplicates(["id"])
+    members = through_table(members, scratch_path(spark, "ngram-members"))
     groups = connected(verified_links(members, percent)).withColumnRenamed("id", "rep")
-    return rep_of.join(groups, "rep", "left").select(
-        F.col("id").alias(id_column), F.col("n_ngrams").alias("n_shingles"),
-        F.coalesce("component", "rep").alias("component_id"),
+    grouped = sets.join(groups, "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    least = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("least").alias("component_id"))
+    return grouped.join(least, "group", "left").select(
+        "id", "n_ngrams", "k1", "k2", "group", F.coalesce("component_id", "id").alias("component_id")
     )
 
 
-def _repeats(rows: DataFrame) -> bool:
-    """Does an id occur more than once?"""
-    return not rows.groupBy("id").count().filter("count > 1 AND id IS NOT NULL").isEmpty()
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sure: int | None = None) -> DataFrame:
+    """The documents without near copies: of each component a row with its smallest doc_id stays, with all columns.
+
+    Rows without words or id stay, rows that repeat another in id and text go.
+    """
+    spark = docs.sparkSession
+    groups = through_table(document_groups(docs, words, percent, sure), scratch_path(spark, "document-groups"))
+    repeated = groups.filter("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).count().filter("count > 1").select("doc_id")
+    repeated = through_table(repeated, scratch_path(spark, "repeated-ids"))
+    copies = groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).join(repeated, "doc_id", "left_anti")
+    kept = docs.join(small(copies), "doc_id", "left_anti")
+    if repeated.isEmpty():
+        return kept.select(docs.columns)
+    # Rows of a repeated id are told apart by their sets.
+    of_set = groups.filter("k1 IS NOT NULL").selectExpr(
+        "id AS doc_id", "k1 AS _k1", "k2 AS _k2", "group AS _group", "id <> component_id AS _copy"
+    ).distinct()
+    again = _with_digests(docs.join(small(repeated), "doc_id", "left_semi"), words)
+    again = again.join(of_set, ["doc_id", "_k1", "_k2"], "left").filter(~F.coalesce("_copy", F.lit(False)))
+    same = F.coalesce(F.col("_group").cast("string"), F.concat(F.lit("text "), F.xxhash64("text").cast("string")))
+    first = F.row_number().over(Window.partitionBy("doc_id", same).orderBy("text"))
+    again = again.withColumn("_first", first).filter("_first = 1")
+    return kept.join(small(repeated), "doc_id", "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
+
+
+def _with_digests(docs: DataFrame, words: int) -> DataFrame:
+    """The documents with _k1 and _k2, the digest of the set of their text."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [ngram_set(value.as_py() or "", words) for value in batch.column(place)]
+            digests = [_digest(grams) if len(grams) else (None, None) for grams in sets]
+            names = [*batch.schema.names, "_k1", "_k2"]
+            halves = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *halves], names=names)
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_k1", T.LongType()), T.StructField("_k2", T.LongType())])
+    return docs.mapInArrow(run, schema)

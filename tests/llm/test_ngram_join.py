@@ -1,32 +1,44 @@
 """Near-duplicate groups against all pairs."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from ebbtide.llm import ngram_join as nj
 from ebbtide.llm.components import connected
 from tests.llm.helpers import SCHEMA, no_documents, odd_documents, prose
 
 
+def shingles(text, n):
+    """As text, from the definition."""
+    words = [w for w in re.split("[\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if w]
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
+
+
 def brute(rows, words, percent):
-    sets = {doc: set(nj.ngram_set(text or "", words).tolist()) for doc, text in rows}
-    root = {doc: doc for doc in sets}
+    """Rows by their place: sets from the words themselves, links of all pairs."""
+    sets = [shingles(text, words) for _, text in rows]
+    root = list(range(len(rows)))
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    docs = sorted(sets)
-    for i, a in enumerate(docs):
-        for b in docs[i + 1 :]:
-            common = len(sets[a] & sets[b])
-            if common and 100 * common >= percent * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
+    for i, a in enumerate(sets):
+        for j in range(i):
+            common = len(a & sets[j])
+            if common and 100 * common >= percent * len(a | sets[j]):
+                x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
-    return {doc: (len(sets[doc]), find(doc)) for doc in docs}
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        least[find(i)] = min(doc, least.get(find(i), doc))
+    return {doc: (len(sets[i]), least[find(i)]) for i, (doc, _) in enumerate(rows)}
 
 
 def near_copies(seed, groups=12, copies=9):
@@ -89,6 +101,50 @@ def test_recall_below_the_sure_similarity():
     assert hits[60] >= 45 and hits[400] >= 59
 
 
+def test_blocks_of_one_family_run_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK_ROWS", 100)
+    rows = spark.range(3000).selectExpr("1L AS family", "id", "3L AS n", "encode('aaaaaaaabbbbbbbbcccccccc', 'utf-8') AS ngrams")
+    placed = nj._blocks(rows, "block")
+    dealt = placed.repartition(nj._tasks(placed), "family", "block")
+    assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    assert nj.verified_links(rows, 90).select("a").distinct().count() == 2999
+
+
+def test_sketches_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(7)
+    for size in [1, 3, 10, 50, 64, 65, 400, 3000, 30_000]:
+        base = np.unique(rng.integers(0, 2**63, size, dtype=np.int64).astype(np.uint64))
+        for percent in (80, 90):
+            least = -(-len(base) * percent // 100)
+            part = np.sort(rng.permutation(base)[:least])
+            table = nj.sketch_table([nj.sketch(base), nj.sketch(part)])
+            sizes = np.array([len(base), len(part)])
+            assert nj.possible(table, sizes, table, sizes, percent).all()
+        other = np.unique(rng.integers(0, 2**63, size, dtype=np.int64).astype(np.uint64))
+        table, sizes = nj.sketch_table([nj.sketch(base), nj.sketch(other)]), np.array([len(base), len(other)])
+        assert size < 50 or not nj.possible(table, sizes, table, sizes, 80)[0, 1]
+
+
+def test_large_buckets_go_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK_ROWS", 6)
+    rows = near_copies(5, groups=4, copies=40)
+    assert found(nj.near_duplicate_groups(documents(spark, rows), 5, 80)) == brute(rows, 5, 80)
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    rng = random.Random(2)
+    base = prose(rng, 300).split(" ")
+    change = lambda at: " ".join([*base[:at], "changed", *base[at + 1 :]])
+    rows = [(1, " ".join(base)), (2, change(40)), (7, change(90)), (7, change(200)), (8, prose(rng, 50)), (8, prose(rng, 60)), (9, "")]
+    df = documents(spark, rows)
+    got = sorted((r.doc_id, r.component_id) for r in nj.near_duplicate_groups(df, 3, 90).collect())
+    assert got == [(1, 1), (2, 1), (7, 1), (7, 1), (8, 8), (8, 8), (9, 9)]
+    # Both texts of 8 are clean; of 7, one is a copy and one is not.
+    rows = [(1, " ".join(base)), (7, change(90)), (7, prose(rng, 80)), (7, prose(rng, 80)), (8, "a b c d e f"), (8, "a b c d e f")]
+    kept = nj.one_of_each(documents(spark, rows), 3, 90)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([rows[0], rows[2], rows[3], rows[4]])
+
+
 def test_odd_rows(spark):
     got = sorted(map(repr, map(tuple, nj.near_duplicate_groups(odd_documents(spark)).collect())))
     want = [(1, 0, 1), (2, 0, 2), (None, 4, None), (3, 0, 3), (4, 1, 4), (5, 1, 5), (6, 1, 6), (7, 2, 7), (7, 2, 7), (8, 1, 8)]
