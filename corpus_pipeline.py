@@ -7,11 +7,11 @@ stage, which keeps one of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import bpe, decontaminate, line_templates, ngram_join, quality_cnn
-from ebbtide.llm.workers import reachable, small
+from ebbtide.llm.workers import reachable
 from ebbtide.sources.storage import scratch_path, through_table
 
 # Near duplicates: five words, a similarity of 0.8 or more. Signatures find every such pair.
@@ -36,17 +36,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest id."""
-    groups = ngram_join.near_duplicate_groups(docs, WORDS, PERCENT, SURE)
-    copies = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(small(copies), "doc_id", "left_anti").select(docs.columns)
-    # Rows that repeat another in id and text are copies too.
-    again = docs.groupBy("doc_id").agg(F.count("*").alias("_rows")).filter("_rows > 1 AND doc_id IS NOT NULL")
-    again = through_table(again.select("doc_id"), scratch_path(spark, "repeated"))
-    if again.isEmpty():
-        return kept
-    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text"))
-    one = kept.join(again, "doc_id", "left_semi").withColumn("_first", first).filter("_first = 1").select(docs.columns)
-    return kept.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(one)
+    return ngram_join.one_of_each(docs, WORDS, PERCENT, SURE)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
