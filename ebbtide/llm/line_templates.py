@@ -7,12 +7,12 @@ many documents as the last of these; every other token is a variable field. The
 of a field stay variable however often each occurs, and the constants part a leaf that mixes templates. Lines with equal
 constants make a template; a line with too few tokens without digits is one by itself. Templates (and plain lines) that
 occur in ``min_docs`` documents or more are dropped everywhere but in the document with the smallest id that has them, so
-that of copied text one stays. A line of ``LONG_TOKENS`` tokens or more goes likewise when it recurs as it is in
-``LONG_DOCS`` documents; shorter common lines are under the stricter count. Values that are more frequent at their place
-than constants (through other templates of the leaf) make templates of their own.
+that of copied text one stays. A line that recurs as it is needs no more proof than a second document, ``REPEATS``,
+whatever its length. Values that are more frequent at their place than constants (through other templates of the leaf)
+make templates of their own.
 
 Lines that recur as they are take part in all counts, as one row with its number of documents, and only leaves with
-several lines and enough documents are split into tokens. Lines under ``min_tokens`` tokens always stay. A leaf that a
+several lines and enough documents are split into tokens. Every text is parsed once, into a table of its lines. Lines under ``min_tokens`` tokens always stay. A leaf that a
 third of all lines share is counted from distinct lines; all sums are combined before the shuffle. Nothing is collected.
 
 Null texts stay null, empty ones empty; a repeated row counts as one document and is treated like its twin. Rows with a
@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.llm import sieve
 from ebbtide.sources.storage import scratch_path, through_table
 
 DEPTH = 3
@@ -32,8 +33,10 @@ MIN_TOKENS = 5
 MIN_DOCS = 3
 CONSTANT = 0.7
 MIN_CONSTANTS = 3
-LONG_TOKENS, LONG_DOCS = 50, 2
+REPEATS = 2
 BROADCAST_ROWS = 1_000_000
+BROADCAST_PLACES = 200_000  # dropped lines of texts that are broadcast one by one
+_BLANKS = " \t\x0b\f\r"
 FIELD = "<*>"
 
 
@@ -46,27 +49,29 @@ def _small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def _tokens(text: str) -> F.Column:
+    return F.split(F.trim(F.col(text), F.lit(_BLANKS)), "\\s+")
+
+
 def parsed_lines(docs: DataFrame, id_column: str, text_column: str, min_tokens: int) -> DataFrame:
-    """(row, doc, pos, leaf, line, tokens, long): lines of at least ``min_tokens`` tokens at their leaf of the tree."""
+    """(row, doc, pos, leaf, line, text): lines of at least ``min_tokens`` tokens at their leaf of the tree."""
     lines = docs.select(
         F.xxhash64(id_column, text_column).alias("row"), F.col(id_column).alias("doc"),
         F.posexplode(F.split(text_column, "\n")).alias("pos", "text"),
     )
-    lines = lines.withColumn("tokens", F.split(F.trim(F.regexp_replace("text", "\\s+", " ")), " "))
+    # Generated, so that the filter does not split a line a second time.
+    lines = lines.select("row", "doc", "pos", "text", F.explode(F.array(_tokens("text"))).alias("tokens"))
     lead = [_masked(F.get("tokens", F.lit(i))) for i in range(DEPTH)]
     return lines.filter(F.size("tokens") >= min_tokens).select(
-        "row", "doc", "pos", F.xxhash64(F.size("tokens"), *lead).alias("leaf"), F.xxhash64("tokens").alias("line"), "tokens",
-        (F.size("tokens") >= LONG_TOKENS).alias("long"),
+        "row", "doc", "pos", F.xxhash64(F.size("tokens"), *lead).alias("leaf"), F.xxhash64("tokens").alias("line"), "text"
     )
 
 
 def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFrame:
     """(leaf, line, first): the lines to drop outside the document ``first``."""
     spark = lines.sparkSession
-    holders = through_table(lines.select("leaf", "line", "row", "doc", "long").distinct(), scratch_path(spark, "line-holders"))
-    plain = holders.groupBy("leaf", "line").agg(
-        F.count("*").alias("docs"), F.min("doc").alias("first"), F.first("long").alias("long")
-    )
+    holders = through_table(lines.select("leaf", "line", "row", "doc").distinct(), scratch_path(spark, "line-holders"))
+    plain = holders.groupBy("leaf", "line").agg(F.count("*").alias("docs"), F.min("doc").alias("first"))
     plain = through_table(plain, scratch_path(spark, "line-counts"))
     # Leaves whose lines could make a template together; in the others a line is its own template.
     leaves = plain.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("m")).filter(
@@ -74,11 +79,11 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
     ).select("leaf")
     leaves = through_table(leaves, scratch_path(spark, "line-leaves"))
     texts = (
-        lines.select("leaf", "line", "tokens").join(_small(leaves), "leaf")
-        .groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"))
+        lines.select("leaf", "line", "text").join(_small(leaves), "leaf")
+        .groupBy("leaf", "line").agg(F.first("text").alias("text"))
     )
     places = plain.join(texts, ["leaf", "line"]).select(
-        "leaf", "line", "docs", F.posexplode("tokens").alias("place", "token")
+        "leaf", "line", "docs", F.posexplode(_tokens("text")).alias("place", "token")
     ).filter(_masked(F.col("token")) != FIELD).select(
         "leaf", "line", "docs", F.xxhash64("place", "token").alias("slot")
     )
@@ -110,10 +115,10 @@ def recurring_lines(lines: DataFrame, min_docs: int, constant: float) -> DataFra
         .groupBy(key).agg(F.count("*").alias("n"), F.min("doc").alias("first"))
         .filter(F.col("n") >= min_docs).select(*key, "first")
     )
-    pairs = F.col("long") & (F.col("docs") >= LONG_DOCS)
+    again = F.col("docs") >= REPEATS
     drops = (
         named.join(sure.unionByName(counted).withColumnRenamed("first", "kept"), key, "left")
-        .filter(F.col("kept").isNotNull() | pairs).select("leaf", "line", F.coalesce("kept", "first").alias("first"))
+        .filter(F.col("kept").isNotNull() | again).select("leaf", "line", F.coalesce("kept", "first").alias("first"))
     )
     return through_table(drops, scratch_path(spark, "line-drops"))
 
@@ -123,22 +128,27 @@ def drop_recurring_lines(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """The documents with recurring lines taken out of ``text``; ``n_lines`` before, ``n_dropped``."""
-    lines = parsed_lines(docs, id_column, text_column, min_tokens)
+    spark = docs.sparkSession
+    lines = through_table(parsed_lines(docs, id_column, text_column, min_tokens), scratch_path(spark, "lines"))
     drops = recurring_lines(lines, min_docs, constant)
     gone = (
         lines.select("row", "doc", "pos", "leaf", "line").join(_small(drops), ["leaf", "line"])
         .filter(~F.col("doc").eqNullSafe(F.col("first")))
         .groupBy("row").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("row", "_row")
     )
-    gone = through_table(gone, scratch_path(docs.sparkSession, "line-gone"))
+    gone = through_table(gone, scratch_path(spark, "line-gone"))
+    rows = docs.drop("n_lines", "n_dropped").withColumn("_row", F.xxhash64(id_column, text_column))
+    if (gone.agg(F.sum(F.size("_gone"))).first()[0] or 0) <= BROADCAST_PLACES:
+        met = rows.join(F.broadcast(gone), "_row", "left")
+    else:
+        # Only texts that lose lines are shuffled, and a few others.
+        some, others = sieve.parted(rows, gone.select("_row"), "_row")
+        met = some.join(gone, "_row", "left").unionByName(others.withColumn("_gone", F.lit(None).cast("array<int>")))
     split = F.split(text_column, "\n")
     kept = F.array_join(F.filter(split, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    count = F.coalesce(F.size("_gone"), F.lit(0))
     return (
-        docs.drop("n_lines", "n_dropped").withColumn("_row", F.xxhash64(id_column, text_column))
-        .join(_small(gone), "_row", "left")
-        .withColumn("n_lines", F.when(F.col(text_column).isNull(), 0).otherwise(F.size(split)))
-        .withColumn("n_dropped", F.when(F.col("_gone").isNull(), 0).otherwise(count))
+        met.withColumn("n_lines", F.when(F.col(text_column).isNull(), 0).otherwise(F.size(split)))
+        .withColumn("n_dropped", F.when(F.col("_gone").isNull(), 0).otherwise(F.coalesce(F.size("_gone"), F.lit(0))))
         .withColumn(text_column, F.when(F.col("_gone").isNull(), F.col(text_column)).otherwise(kept))
         .drop("_row", "_gone")
     )

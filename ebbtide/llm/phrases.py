@@ -25,6 +25,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm import sieve
 from ebbtide.sources.storage import remove, scratch_path, through_table
 
 LEAST = 10  # occurrences of a phrase
@@ -33,7 +34,6 @@ SCALE = 1_000_000
 TOP = 2_000  # phrases of a language
 BUCKET_ROWS = 3_000_000
 EXACT_ROWS = 500_000  # frequent groups that are broadcast one by one
-SIEVE_ROWS, SIEVE_WORDS = 1 << 19, 8  # of 64 bits: 32 MB
 _BREAK = "[.,;:!?\\n-\\r]"
 _WIDE = "decimal(16,0)"  # products of two, times SCALE, stay within 38 digits
 
@@ -112,18 +112,7 @@ def among(rows: DataFrame, frequent: DataFrame, key: str) -> DataFrame:
     """Occurrences of frequent groups, and beyond ``EXACT_ROWS`` groups a few others; ``key`` is a hash. No shuffle."""
     if frequent.count() <= EXACT_ROWS:
         return rows.join(F.broadcast(frequent), key, "left_semi")
-
-    def place(width: int, below: int) -> Column:
-        return F.shiftrightunsigned(F.col(key), below).bitwiseAND(F.lit(width - 1))
-
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place(64, 0).cast("int"))
-    words = [F.bit_or(F.when(place(SIEVE_WORDS, 6) == i, bit).otherwise(0)).alias(f"word_{i}") for i in range(SIEVE_WORDS)]
-    sieve = frequent.groupBy(place(SIEVE_ROWS, 9).alias("sieve_row")).agg(*words)
-    word = F.lit(0).cast("bigint")
-    for i in range(SIEVE_WORDS):
-        word = F.when(place(SIEVE_WORDS, 6) == i, F.col(f"word_{i}")).otherwise(word)
-    passed = rows.withColumn("sieve_row", place(SIEVE_ROWS, 9)).join(F.broadcast(sieve), "sieve_row")
-    return passed.filter(word.bitwiseAND(bit) != 0).select(rows.columns)
+    return sieve.passing(rows, frequent, key)
 
 
 def adjacent(left: DataFrame, right: DataFrame, *columns: Column) -> DataFrame:

@@ -1,14 +1,12 @@
-"""Line templates from their definition: word-valued fields, dominant variants, long lines in two documents."""
+"""Line templates: word-valued fields, dominant variants, lines that recur as they are."""
 
-import math
 import random
-from collections import Counter, defaultdict
 
 import pytest
 
 from ebbtide.llm import line_templates as lt
 from tests.llm.helpers import SCHEMA, prose
-from tests.llm.test_line_templates import corpus
+from tests.llm.test_line_templates import brute, corpus
 
 
 def word(number):
@@ -52,37 +50,6 @@ def test_one_copy_for_a_template_of_recurring_variants(spark):
     assert [doc for doc, text in got.items() if text] == [0]
 
 
-def whole(rows, min_docs=lt.MIN_DOCS, min_tokens=lt.MIN_TOKENS):
-    """From the definition: every line takes part in the counts of its leaf."""
-    digit = lambda token: any(c.isascii() and c.isdigit() for c in token)
-    holders, leaves = defaultdict(set), defaultdict(set)
-    for doc, text in rows:
-        for line in map(str.split, text.split("\n")):
-            if len(line) >= min_tokens:
-                holders[tuple(line)].add(doc)
-                leaves[len(line), tuple(lt.FIELD if digit(t) else t for t in line[: lt.DEPTH])].add(tuple(line))
-    first = {}
-    for lines in leaves.values():
-        held, groups = Counter(), defaultdict(set)
-        for line in lines:
-            held.update({slot: len(holders[line]) for slot in enumerate(line)})
-        for line in lines:
-            slots = sorted((s for s in enumerate(line) if not digit(s[1])), key=held.get, reverse=True)
-            if len(slots) >= lt.MIN_CONSTANTS:
-                least = held[slots[max(lt.MIN_CONSTANTS, math.ceil(lt.CONSTANT * len(slots))) - 1]]
-                groups[frozenset(s for s in slots if held[s] >= least)].add(line)
-            else:
-                groups[line].add(line)
-        for group in groups.values():
-            docs = set().union(*(holders[line] for line in group))
-            if len(docs) >= min_docs:
-                first.update((line, min(docs)) for line in group)
-    out = {}
-    for doc, text in rows:
-        out[doc] = "\n".join(x for x in text.split("\n") if first.get(tuple(x.split()), doc) == doc)
-    return out
-
-
 @pytest.mark.parametrize("seed", [5, 6])
 def test_equals_the_definition(spark, seed):
     rng = random.Random(seed)
@@ -91,12 +58,22 @@ def test_equals_the_definition(spark, seed):
         name, city = (int(rng.paretovariate(0.7)) % 50 for _ in range(2))
         lines = [account(name, city), " ".join(rng.choice(["a", "b", "c", "d9"]) for _ in range(rng.randrange(4, 8)))]
         rows.append((doc, "\n".join(lines * rng.choice([1, 1, 2]))))
-    assert kept(spark, rows) == whole(rows)
+    assert kept(spark, rows) == {doc: text for doc, (text, _) in brute(rows).items()}
 
 
-def test_long_lines_go_from_two_documents_on(spark):
+def test_a_line_of_any_length_goes_from_its_second_document_on(spark):
     rng = random.Random(8)
-    passage, short = prose(rng, 60), prose(rng, 49)
-    rows = [(i, "\n".join([prose(rng, 80), passage, short, prose(rng, 80)])) for i in range(2)]
+    passages = [prose(rng, n) for n in (5, 49, 60)]
+    rows = [(i, "\n".join([prose(rng, 80), *passages, "too short to see", prose(rng, 80)])) for i in range(2)]
     got = kept(spark, rows)
-    assert got[0] == rows[0][1] and got[1] == rows[1][1].replace(passage + "\n", "")
+    lines = rows[1][1].split("\n")
+    assert got[0] == rows[0][1] and got[1].split("\n") == [lines[0], *lines[-2:]]
+
+
+def test_many_dropped_lines_go_through_a_sieve(spark, monkeypatch):
+    monkeypatch.setattr(lt, "BROADCAST_PLACES", 3)
+    rows = corpus(7) + [(500, None), (501, "")]
+    df = spark.createDataFrame([(doc, text, None, None, None) for doc, text in rows], SCHEMA)
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lt.drop_recurring_lines(df).collect()}
+    assert got.pop(500) == (None, 0)
+    assert got == {doc: value for doc, value in brute(rows).items() if doc != 500}

@@ -1,7 +1,9 @@
 """Line dedup against a plain Python version."""
 
+import math
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -9,37 +11,36 @@ from ebbtide.llm import line_templates as lt
 from tests.llm.helpers import CLASHES, SCHEMA, no_documents, odd_documents, prose
 
 
-def brute(rows, min_docs=lt.MIN_DOCS, min_tokens=lt.MIN_TOKENS, constant=lt.CONSTANT):
-    mask = lambda t: lt.FIELD if any(c.isascii() and c.isdigit() for c in t) else t
-    split = lambda line: tuple(line.split())
+def brute(rows, min_docs=lt.MIN_DOCS, min_tokens=lt.MIN_TOKENS):
+    """From the definition: every line takes part in the counts of its leaf. Text and dropped lines of each document."""
+    digit = lambda token: any(c.isascii() and c.isdigit() for c in token)
+    split = lambda line: tuple(t for t in re.split("[ \t\n\x0b\f\r]+", line) if t)
     holders, leaves = defaultdict(set), defaultdict(set)
     for doc, text in rows:
-        for line in (text or "").split("\n"):
-            tokens = split(line)
-            if len(tokens) >= min_tokens:
-                holders[tokens].add(doc)
-                leaves[len(tokens), tuple(map(mask, tokens[: lt.DEPTH]))].add(tokens)
-    first = {t: min(docs) for t, docs in holders.items() if len(docs) >= min_docs}
-    for (n, _), lines in leaves.items():
-        rare = [t for t in lines if t not in first]
-        held = defaultdict(int)
-        for t in rare:
-            for place, token in enumerate(t):
-                held[place, token] += len(holders[t])
-        templates = defaultdict(list)
-        for t in rare:
-            plain = [(p, x) for p, x in enumerate(t) if mask(x) != lt.FIELD]
-            kept = tuple(place for place in plain if held[place] >= min_docs)
-            if len(kept) >= max(lt.MIN_CONSTANTS, constant * len(plain)):
-                templates[kept].append(t)
-        for members in templates.values():
-            docs = set().union(*(holders[t] for t in members))
+        for line in map(split, (text or "").split("\n")):
+            if len(line) >= min_tokens:
+                holders[line].add(doc)
+                leaves[len(line), tuple(lt.FIELD if digit(t) else t for t in line[: lt.DEPTH])].add(line)
+    first = {line: min(docs) for line, docs in holders.items() if len(docs) >= lt.REPEATS}
+    for lines in leaves.values():
+        held, groups = Counter(), defaultdict(set)
+        for line in lines:
+            held.update({slot: len(holders[line]) for slot in enumerate(line)})
+        for line in lines:
+            slots = sorted((s for s in enumerate(line) if not digit(s[1])), key=held.get, reverse=True)
+            if len(slots) >= lt.MIN_CONSTANTS:
+                least = held[slots[max(lt.MIN_CONSTANTS, math.ceil(lt.CONSTANT * len(slots))) - 1]]
+                groups[frozenset(s for s in slots if held[s] >= least)].add(line)
+            else:
+                groups[line].add(line)
+        for group in groups.values():
+            docs = set().union(*(holders[line] for line in group))
             if len(docs) >= min_docs:
-                first.update((t, min(docs)) for t in members)
+                first.update((line, min(docs)) for line in group)
     out = {}
     for doc, text in rows:
         lines = (text or "").split("\n")
-        kept = [x for x in lines if first.get(split(x), doc) == doc or len(split(x)) < min_tokens]
+        kept = [x for x in lines if first.get(split(x), doc) == doc]
         out[doc] = ("\n".join(kept), len(lines) - len(kept))
     return out
 

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import phrases
+from ebbtide.llm import phrases, sieve
 from tests.llm.helpers import ODD, SCHEMA, no_documents, odd_documents
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -78,8 +78,8 @@ def test_first_of_each_language_and_ties(spark):
 def test_frequent_groups_in_a_sieve(spark, monkeypatch, rows, words):
     """A wide sieve, and one so narrow that much passes that should not."""
     monkeypatch.setattr(phrases, "EXACT_ROWS", 5)
-    monkeypatch.setattr(phrases, "SIEVE_ROWS", rows)
-    monkeypatch.setattr(phrases, "SIEVE_WORDS", words)
+    monkeypatch.setattr(sieve, "ROWS", rows)
+    monkeypatch.setattr(sieve, "WORDS", words)
     rows = corpus(3, 40)
     assert collected(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
