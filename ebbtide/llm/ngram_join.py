@@ -44,8 +44,8 @@ from ebbtide.sources.storage import scratch_path, through_table
 
 WORDS, PERCENT = 3, 90
 BLOCK_ROWS, BLOCK_NGRAMS = 1024, 4_000_000
-GROUP_CHARS = 4_000_000
-MAX_WORDS_KEPT = 1_000_000
+GROUP_CHARS = 2_000_000
+MAX_WORDS_KEPT = 300_000
 # Widths of bands and least numbers of parts to choose from, those with the fewest signatures first.
 WIDTHS = ((3, 3), (2, 3), (1, 3), (1, 4))
 COVERED = 5  # n-grams that a signature should cover
@@ -201,7 +201,7 @@ def possible(left: np.ndarray, left_sizes: np.ndarray, right: np.ndarray, right_
 # ---- jobs over the documents
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str]]]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[str]]]:
     for batch in batches:
         ids, texts, held = [], [], 0
         for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -215,6 +215,18 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, lis
             yield ids, texts
 
 
+def _task(job):
+    """The work of a task, after which its worker, which others use as well, keeps no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from job(batches)
+        finally:
+            _HASHES.clear()
+
+    return run
+
+
 def _digest(grams: np.ndarray) -> tuple[int, int]:
     """The two signed halves of a set's 128-bit digest."""
     value = xxhash.xxh3_128_intdigest(grams.tobytes())
@@ -236,7 +248,7 @@ def set_digests(docs: DataFrame, words: int) -> DataFrame:
                 names=["id", "n_ngrams", "k1", "k2", "sketch"],
             )
 
-    return docs.mapInArrow(run, "id bigint, n_ngrams bigint, k1 bigint, k2 bigint, sketch binary")
+    return docs.mapInArrow(_task(run), "id bigint, n_ngrams bigint, k1 bigint, k2 bigint, sketch binary")
 
 
 def signature_rows(docs: DataFrame, words: int, sure: int) -> DataFrame:
@@ -264,7 +276,7 @@ def signature_rows(docs: DataFrame, words: int, sure: int) -> DataFrame:
                     part = (keys[at : at + 100_000] >> _U(16)).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(holders[at : at + 100_000])], names=["key", "node"])
 
-    return docs.select("id", "text", "several").mapInArrow(run, "key bigint, node bigint")
+    return docs.select("id", "text", "several").mapInArrow(_task(run), "key bigint, node bigint")
 
 
 def family_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -283,7 +295,7 @@ def family_sets(docs: DataFrame, words: int) -> DataFrame:
                 ).filter(own)
 
     schema = "family bigint, id bigint, n bigint, ngrams binary"
-    return docs.select("family", "node", "k1", "text").mapInArrow(run, schema)
+    return docs.select("family", "node", "k1", "text").mapInArrow(_task(run), schema)
 
 
 def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
@@ -529,4 +541,4 @@ def _with_digests(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *halves], names=names)
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_k1", T.LongType()), T.StructField("_k2", T.LongType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(_task(run), schema)
