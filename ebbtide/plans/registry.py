@@ -55,12 +55,13 @@ def _choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mt.pick_best(mt.split_summary(_ranked(spark, sf_dir, "val")))
 
 
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scores table, written once per application and input; reports read it as they would a finished run's."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The scores table, written once per application and state of the input; reports read it like a finished run's."""
+    stamps = [storage.stamp(spark, f"{sf_dir}/{table}.parquet") for table in td.SCHEMAS]
+    key = (spark.sparkContext.applicationId, sf_dir, *stamps)
     if key not in _STORED:
         wide = td.surrogate_wide(_features(spark, sf_dir))
         choice = storage.through_table(_choice(spark, sf_dir), storage.scratch_path(spark, "choice"))

@@ -60,6 +60,14 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """When a file or folder was changed, its files and their bytes: another stamp, another content."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = store.getContentSummary(place)
+    return store.getFileStatus(place).getModificationTime(), found.getFileCount(), found.getLength()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -269,3 +269,12 @@ def test_source_label():
     assert source_label("hdfs://host:9000/a/b/c") == "hdfs://host:9000/a/b/c"
     assert source_label("/home/someone/project/data/raw/") == "data/raw"
     assert source_label("raw") == "raw"
+
+
+def test_stamp_tells_another_content(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3).write.parquet(path)
+    first = storage.stamp(spark, path)
+    assert storage.stamp(spark, path) == first
+    spark.range(3).write.mode("append").parquet(path)
+    assert storage.stamp(spark, path) != first
