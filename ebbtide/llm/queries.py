@@ -16,6 +16,7 @@ from ebbtide.sources.storage import scratch_path
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {
+    "op8_vector_dedup": sql.VECTORS,
     "op11_merkle_manifest": sql.MERKLE, "op12_phrase_collocations": sql.PHRASES, "op13_source_mix": sql.MIXING,
 }
 

@@ -144,3 +144,25 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
 FROM ranked JOIN (SELECT lang, SUM(f) AS n FROM f1 GROUP BY lang) USING (lang) WHERE rank <= 2000
 """
+
+VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, LAMBDA x: x IS NULL OR NOT isfinite(x))) = 0
+),
+measured AS (SELECT *, sqrt(list_inner_product(v, v)) AS norm FROM usable),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM measured AS a JOIN measured AS b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND a.norm > 0 AND b.norm > 0
+  WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 98E-2
+),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION
+  SELECT links.b, reached.other FROM reached JOIN links ON links.a = reached.vec_id
+),
+least AS (SELECT vec_id, MIN(other) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, COUNT(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, COALESCE(n_links, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings AS e JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
