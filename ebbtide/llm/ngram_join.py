@@ -39,13 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.llm.components import connected, local_roots
-from ebbtide.llm.workers import small
+from ebbtide.llm.workers import release, small
 from ebbtide.sources.storage import scratch_path, through_table
 
 WORDS, PERCENT = 3, 90
 BLOCK_ROWS, BLOCK_NGRAMS = 1024, 4_000_000
 GROUP_CHARS = 2_000_000
-MAX_WORDS_KEPT = 300_000
+MAX_WORDS_KEPT = 100_000
 # Widths of bands and least numbers of parts to choose from, those with the fewest signatures first.
 WIDTHS = ((3, 3), (2, 3), (1, 3), (1, 4))
 COVERED = 5  # n-grams that a signature should cover
@@ -219,6 +219,7 @@ def _task(job):
     """The work of a task, after which its worker, which others use as well, keeps no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("ebbtide.llm.bpe", "ebbtide.llm.token_store")
         try:
             yield from job(batches)
         finally:

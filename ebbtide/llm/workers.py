@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -23,6 +24,14 @@ def reachable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(*modules: str) -> None:
+    """A worker serves one operator after the other: what the codecs of earlier ones remember goes before another fills it."""
+    for name in modules:
+        module = sys.modules.get(name)
+        if module is not None:
+            module.codec.cache_clear()
+
+
 def small(rows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Narrow rows, broadcast up to a bound that is checked, else left to a shuffle join."""
     return F.broadcast(rows) if rows.count() <= bound else rows

@@ -70,8 +70,7 @@ def test_a_line_of_any_length_goes_from_its_second_document_on(spark):
     assert got[0] == rows[0][1] and got[1].split("\n") == [lines[0], *lines[-2:]]
 
 
-def test_many_dropped_lines_go_through_a_sieve(spark, monkeypatch):
-    monkeypatch.setattr(lt, "BROADCAST_PLACES", 3)
+def test_null_and_empty_texts_among_others(spark):
     rows = corpus(7) + [(500, None), (501, "")]
     df = spark.createDataFrame([(doc, text, None, None, None) for doc, text in rows], SCHEMA)
     got = {r.doc_id: (r.text, r.n_dropped) for r in lt.drop_recurring_lines(df).collect()}
