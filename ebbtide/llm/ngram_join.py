@@ -321,22 +321,34 @@ def overlaps(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def similar(group: pd.DataFrame, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the pairs of the first ``rows`` sets with the others (all, if none are left) that are similar enough."""
-    sizes, grams = group["n"].to_numpy(), list(group["ngrams"])
-    offset = rows if rows < len(group) else 0
-    common = overlaps(grams[:rows], grams[offset:])
-    union = sizes[:rows, None] + sizes[offset:][None, :] - common
-    x, y = np.nonzero((100 * common >= percent * union) & (union > 0))
-    return x, y + offset
+def similar(sizes: np.ndarray, sets: list[bytes], percent: int):
+    """Which sets at some positions are similar enough to which at others."""
 
+    def relate(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        common = overlaps([sets[i] for i in left], [sets[i] for i in right])
+        union = sizes[left][:, None] + sizes[right][None, :] - common
+        return (100 * common >= percent * union) & (union > 0)
 
-def alike(group: pd.DataFrame, rows: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """As ``similar``, of the pairs whose sketches do not rule it out."""
-    sizes, table = group["n"].to_numpy(), sketch_table(list(group["ngrams"]))
-    offset = rows if rows < len(group) else 0
-    x, y = np.nonzero(possible(table[:rows], sizes[:rows], table[offset:], sizes[offset:], percent))
-    return x, y + offset
+    return relate
+
+
+def alike(sizes: np.ndarray, sketches: list[bytes], percent: int):
+    """As ``similar``, for pairs whose sketches do not rule it out."""
+    table = sketch_table(sketches)
+    return lambda left, right: possible(table[left], sizes[left], table[right], sizes[right], percent)
+
+
+def connecting(n: int, relate) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of n positions that connect whatever the relation connects.
+
+    What is related to the first needs no pairs among itself; only the others are compared with all.
+    """
+    all_of = np.arange(n)
+    near = relate(all_of[:1], all_of)[0]
+    near[0] = True
+    rest = np.flatnonzero(~near)
+    x, y = np.nonzero(relate(rest, all_of)) if len(rest) else (rest, rest)
+    return np.concatenate([np.zeros(int(near.sum()), np.int64), rest[x]]), np.concatenate([np.flatnonzero(near), y])
 
 
 def spanning(ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -350,10 +362,17 @@ def spanning(ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray,
     return ids[linked], ids[root[linked]]
 
 
-def compare(group: pd.DataFrame, pairs, percent: int) -> pd.DataFrame:
+def compare(group: pd.DataFrame, relation, percent: int) -> pd.DataFrame:
     """Spanning links of a group; with rows marked ``outside``, only pairs of such a row with another row count."""
     group = group.sort_values(["outside", "id"], ascending=[False, True], ignore_index=True)
-    a, b = spanning(group["id"].to_numpy(), *pairs(group, int(group["outside"].sum()) or len(group), percent))
+    relate = relation(group["n"].to_numpy(), list(group["ngrams"]), percent)
+    rows = int(group["outside"].sum())
+    if rows == 0:
+        x, y = connecting(len(group), relate)
+    else:
+        x, y = np.nonzero(relate(np.arange(rows), np.arange(rows, len(group)))) if rows < len(group) else ([], [])
+        x, y = np.asarray(x, np.int64), np.asarray(y, np.int64) + rows
+    a, b = spanning(group["id"].to_numpy(), x, y)
     return pd.DataFrame({"a": a, "b": b})
 
 
@@ -361,11 +380,11 @@ def _tasks(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _links(groups: DataFrame, keys: list[str], pairs, percent: int) -> DataFrame:
+def _links(groups: DataFrame, keys: list[str], relation, percent: int) -> DataFrame:
     spark = groups.sparkSession
     # By a given number: what a join before has dealt out by family alone is dealt again, by block.
     dealt = groups.select(*keys, "id", "n", "ngrams", "outside").repartition(_tasks(groups), *keys)
-    found = dealt.groupBy(*keys).applyInPandas(lambda group: compare(group, pairs, percent), "a bigint, b bigint")
+    found = dealt.groupBy(*keys).applyInPandas(lambda group: compare(group, relation, percent), "a bigint, b bigint")
     return through_table(found, scratch_path(spark, "ngram-links"))
 
 
@@ -377,12 +396,12 @@ def _blocks(members: DataFrame, name: str) -> DataFrame:
     return members.join(sizes, "family").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}s")).cast("int"))
 
 
-def verified_links(members: DataFrame, percent: int, pairs=similar) -> DataFrame:
-    """Spanning links (a, b) of all pairs within families (family, id, n, ngrams) that ``pairs`` finds."""
+def verified_links(members: DataFrame, percent: int, relation=similar) -> DataFrame:
+    """Spanning links (a, b) of all pairs within families (family, id, n, ngrams) that the relation holds for."""
     spark = members.sparkSession
     inside = F.lit(False).alias("outside")
     placed = _blocks(members, "block")
-    links = _links(placed.select("*", inside), ["family", "block"], pairs, percent)
+    links = _links(placed.select("*", inside), ["family", "block"], relation, percent)
     large = placed.filter("blocks > 1")
     if large.isEmpty():
         return links
@@ -390,7 +409,7 @@ def verified_links(members: DataFrame, percent: int, pairs=similar) -> DataFrame
     found = connected(links).withColumnRenamed("component", "head")
     headed = lambda rows, groups: rows.join(groups, "id", "left").withColumn("head", F.coalesce("head", "id"))
     heads = headed(large.select("family", "id", "n", "ngrams"), found).filter("id = head")
-    links = links.unionByName(_links(_blocks(heads, "block").select("*", inside), ["family", "block"], pairs, percent))
+    links = links.unionByName(_links(_blocks(heads, "block").select("*", inside), ["family", "block"], relation, percent))
     found = connected(links).withColumnRenamed("component", "head")
     rest = headed(large.select("family", "id", "n", "ngrams", "block", "blocks"), found)
     counts = rest.groupBy("family", "head").agg(F.count("*").alias("members"))
@@ -408,7 +427,7 @@ def verified_links(members: DataFrame, percent: int, pairs=similar) -> DataFrame
     columns = columns.withColumn("outside", F.lit(False))
     shared = ["family", "row", "block", "id", "n", "ngrams", "outside"]
     met = rows.select(*shared).unionByName(columns.select(*shared))
-    return links.unionByName(_links(met, ["family", "row", "block"], pairs, percent))
+    return links.unionByName(_links(met, ["family", "row", "block"], relation, percent))
 
 
 def bucket_links(buckets: DataFrame, percent: int) -> DataFrame:
@@ -442,9 +461,8 @@ def _in_order(rows: pd.DataFrame, ends: np.ndarray, percent: int) -> pd.DataFram
     ids, sizes, sketches = rows["id"].to_numpy(), rows["n"].to_numpy(), list(rows["ngrams"])
     left, right = [], []
     for start, end in zip([0, *ends], [*ends, len(rows)]):
-        table = sketch_table(sketches[start:end])
-        x, y = np.nonzero(possible(table, sizes[start:end], table, sizes[start:end], percent))
-        a, b = spanning(ids[start:end], x, y)
+        relate = alike(sizes[start:end], sketches[start:end], percent)
+        a, b = spanning(ids[start:end], *connecting(end - start, relate))
         left.append(a)
         right.append(b)
     return pd.DataFrame({"a": np.concatenate(left), "b": np.concatenate(right)}).drop_duplicates()
