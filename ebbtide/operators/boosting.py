@@ -1,9 +1,10 @@
 """Boosting that continues until the ROC-AUC of the validation rows has stood still.
 
-A margin per row is kept beside the features in a written table. Trees are grown in chunks: within one, every round is a
-regression tree on the gradients at the margins so far, which the trees of the chunk are added to as a chain of
-transformations; the chunk ends with the next table, and with the exact AUC of each of its rounds, from one pass of running
-sums. No tree is grown twice: the model is the first trees up to the best round, whatever was grown beyond it.
+A margin per row is kept beside the features in a written table, spread over as many partitions as its rows give work to.
+Trees are grown in chunks: within one, every round is a regression tree on the gradients at the table's margins plus what
+the trees of the chunk add, in one call for a row; the chunk ends with the next table, and with the exact AUC of each of
+its rounds, from one pass of running sums in as many ranges as the validation rows call for. No tree is grown twice: the
+model is the first trees up to the best round, whatever was grown beyond it.
 
 A lost executor costs the chunk at most. The driver holds the trees and one number a round.
 """
@@ -22,7 +23,10 @@ from pyspark.sql import functions as F
 from ebbtide.operators import metrics as mt
 from ebbtide.sources.storage import remove, scratch_path, through_table
 
-CHUNK = 10
+CHUNK = 25
+# Fewer rows are not worth a partition while cores are left; more are not put into one task of a round, or of its areas.
+LEAST_ROWS = 4_000
+MOST_ROWS = 200_000
 _STATE = ("customer_id", "split", "label", "raw_features")
 
 
@@ -65,26 +69,49 @@ def grower(params: dict[str, Any], seed: int) -> RandomForestRegressor:
     )
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same rows in partitions that follow their number, in the order of their ids."""
+    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(n // LEAST_ROWS, cores), -(-n // MOST_ROWS))
+    return rows.repartition(parts).sortWithinPartitions("customer_id")
+
+
 def round_areas(validation: DataFrame, rounds: list[str]) -> list[float | None]:
     """The exact AUC of each round's margins, all rounds in one relation."""
-    summary = mt.split_summary(mt.rank_groups(mt.score_groups(mt.scored_long(validation, rounds))))
+    ranges = max(1, -(-validation.count() * len(rounds) // MOST_ROWS))
+    summary = mt.split_summary(mt.rank_groups(mt.score_groups(mt.scored_long(validation, rounds)), parts=ranges))
     found = {row.model: row.roc_auc for row in summary.select("model", "roc_auc").collect()}
     return [found.get(name) for name in rounds]
 
 
-def ensemble(spark: SparkSession, grown: list, weights: list[float]) -> GBTClassificationModel:
-    """The classifier of trees that were grown one by one."""
+def _gathered(spark: SparkSession, grown: list, weights: list[float]):
+    """The single trees of some regressors, and their weights, as the arrays that MLlib's ensembles are made of."""
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
     trees, scales = gateway.new_array(kind, len(grown)), gateway.new_array(jvm.double, len(grown))
     for i, (tree, weight) in enumerate(zip(grown, weights)):
         trees[i], scales[i] = tree._java_obj.trees()[0], weight
-    name = f"boosted_{uuid.uuid4().hex[:12]}"
-    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(name, trees, scales, grown[0].numFeatures, 2)
-    model = GBTClassificationModel(made)
+    return jvm.org.apache.spark.ml, f"boosted_{uuid.uuid4().hex[:12]}", trees, scales, grown[0].numFeatures
+
+
+def ensemble(spark: SparkSession, grown: list, weights: list[float]) -> GBTClassificationModel:
+    """The classifier of trees that were grown one by one."""
+    ml, name, trees, scales, width = _gathered(spark, grown, weights)
+    model = GBTClassificationModel(ml.classification.GBTClassificationModel(name, trees, scales, width, 2))
     return model.setFeaturesCol("raw_features")
 
 
+def stepped(rows: DataFrame, grown: list, weights: list[float]) -> DataFrame:
+    """Rows with what the trees add to their margin, in one call for a row."""
+    spark = rows.sparkSession
+    ml, name, trees, scales, width = _gathered(spark, grown, weights)
+    model = ml.regression.GBTRegressionModel(name, trees, scales, width)
+    model.setFeaturesCol("raw_features").setPredictionCol("_step")
+    # A Python model around it would look at every tree once more in every round.
+    added = DataFrame(model.transform(rows._jdf), spark)
+    return added.withColumn("margin", F.col("margin") + F.col("_step")).drop("_step")
+
+
 def boost(encoded: DataFrame, params: dict[str, Any], patience: int, seed: int, chunk: int = CHUNK) -> Boosted:
     """Grow trees on the training rows until ``patience`` rounds bring no higher validation AUC, or ``maxIter`` is reached.
 
@@ -93,25 +120,26 @@ def boost(encoded: DataFrame, params: dict[str, Any], patience: int, seed: int,
     spark = encoded.sparkSession
     start = encoded.filter(F.col("split").isin("train", "val")).select(*_STATE, F.lit(0.0).alias("margin"))
     path = scratch_path(spark, "margins")
-    state = through_table(start, path)
+    state = through_table(spread(start), path)
     grown, weights, areas = [], [], []
     while True:
-        rounds = [str(len(grown) + i) for i in range(min(chunk, params["maxIter"] - len(grown)))]
-        kept = state.persist()
-        rows = kept
-        for name in rounds:
-            first = not grown
-            train = rows.filter(F.col("split") == "train")
-            tree = grower(params, seed + len(grown)).fit(
-                train.select("raw_features", gradient(F.col("label"), F.col("margin"), first).alias("_gradient"))
-            )
-            grown.append(tree)
+        done = len(grown)
+        rounds = [str(i) for i in range(min(chunk, params["maxIter"] - done))]
+        kept = state.filter(F.col("split") == "train").select("raw_features", "label", "margin").persist()
+        for _ in rounds:
+            first, train = not grown, kept
+            if grown[done:]:
+                train = stepped(kept, grown[done:], weights[done:])
+            aims = train.select("raw_features", gradient(F.col("label"), F.col("margin"), first).alias("_gradient"))
+            grown.append(grower(params, seed + len(grown)).fit(aims))
             weights.append(1.0 if first else params["stepSize"])
-            margin = F.col("margin") + F.lit(weights[-1]) * F.col("_step")
+        kept.unpersist()
+        rows = state
+        for name, tree, weight in zip(rounds, grown[done:], weights[done:]):
+            margin = F.col("margin") + F.lit(weight) * F.col("_step")
             rows = tree.transform(rows).withColumn("margin", margin).withColumn(f"prob_{name}", F.col("margin")).drop("_step")
         following = scratch_path(spark, "margins")
         rows = through_table(rows, following)
-        kept.unpersist()
         remove(spark, path)
         path = following
         areas += round_areas(rows.filter(F.col("split") == "val"), rounds)
