@@ -1,4 +1,4 @@
-"""Fitted trees as a relation: one row per node, and what can be computed from it with DataFrame functions.
+"""Fitted trees as a relation: one row per node, and what can be computed from it.
 
 The node table is what MLlib writes when it saves a model. From it follow the probabilities, by walking every tree from
 its root, and the importance of the features, as shares of the summed gains. Both are independent of MLlib's own code.
@@ -6,9 +6,12 @@ its root, and the importance of the features, as shares of the summed gains. Bot
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ebbtide.sources.storage import scratch_path
 
@@ -44,41 +47,58 @@ def node_table(spark: SparkSession, model) -> DataFrame:
     return nodes.join(F.broadcast(trees), "tree")
 
 
-def _walked(nodes: Column, slots: Column, depth: Column) -> Column:
-    """The value of the leaf that a row reaches; nodes are in the order of their numbers, which begin at 0."""
-
-    def step(at: Column, _: Column) -> Column:
-        node = nodes[at]
-        value = slots[node["feature"]]
-        left = F.when(node["threshold"].isNotNull(), value <= node["threshold"]).otherwise(F.array_contains(node["categories"], value))
-        return F.when(node["feature"] < 0, at).when(left, node["left"]).otherwise(node["right"])
-
-    return nodes[F.aggregate(F.sequence(F.lit(1), depth), F.lit(0), step)]["value"]
-
-
 def probabilities(rows: DataFrame, nodes: DataFrame, kind: str, column: str, vector: str = "raw_features") -> DataFrame:
     """Adds the probability that the node table gives to every row.
 
     A forest averages the shares of its leaves; a boosted model is the logistic function of twice its weighted sum. The
-    table comes as one row, whose size is that of the fitted model, whatever the number of rows.
+    nodes, as many as the fitted model has whatever the number of rows, go to the tasks as arrays; all rows of a batch
+    take a step of a tree at once, and as many steps as its deepest leaf is away.
     """
-    columns = ("node", "feature", "threshold", "categories", "left", "right", "value")
-    by_tree = nodes.groupBy("tree").agg(
-        F.first("weight").alias("weight"), F.sort_array(F.collect_list(F.struct(*columns))).alias("nodes")
-    )
-    # The longest walk is at most the number of splits of the largest tree; 30 is MLlib's own bound of the depth.
-    whole = by_tree.agg(
-        F.sort_array(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("_trees"),
-        F.least(F.lit(30), F.shiftright(F.max(F.size("nodes")), 1) + 1).alias("_depth"),
-    )
-    slots = vector_to_array(vector)
-    sums = F.aggregate(
-        F.col("_trees"), F.lit(0.0), lambda total, tree: total + tree["weight"] * _walked(tree["nodes"], F.col("_slots"), F.col("_depth"))
-    )
-    weights = F.aggregate(F.col("_trees"), F.lit(0.0), lambda total, tree: total + tree["weight"])
-    found = sums / weights if kind == FOREST else 1.0 / (1.0 + F.exp(-2.0 * sums))
-    joined = rows.withColumn("_slots", slots).crossJoin(F.broadcast(whole))
-    return joined.withColumn(column, found).drop("_trees", "_depth", "_slots")
+    # The size of the model, which the driver holds anyway.
+    table = nodes.orderBy("tree", "node").toPandas()
+    widest = max((len(c) for c in table["categories"] if c is not None), default=0)
+    trees = []
+    for _, own in table.groupby("tree", sort=True):
+        at = {node: i for i, node in enumerate(own["node"])}
+        feature = own["feature"].to_numpy(np.int64)
+        inner = feature >= 0
+        down = [np.array([at[c] if go else i for i, (c, go) in enumerate(zip(own[side], inner))]) for side in ("left", "right")]
+        threshold = own["threshold"].to_numpy(np.float64, na_value=np.nan)
+        members = np.full((len(own), max(1, widest)), np.nan)
+        for i in np.flatnonzero(inner & np.isnan(threshold)):
+            found = own["categories"].iloc[i]
+            members[i, : len(found)] = found
+        depth = np.zeros(len(own), np.int64)
+        # Children have higher numbers than their parents.
+        for i in np.flatnonzero(inner):
+            depth[down[0][i]] = depth[down[1][i]] = depth[i] + 1
+        named = bool((inner & np.isnan(threshold)).any())
+        value = own["value"].to_numpy(np.float64, na_value=np.nan)
+        trees.append((float(own["weight"].iloc[0]), int(depth.max()), np.where(inner, feature, 0), threshold, members if named else None, *down, value))
+    forest = kind == FOREST
+    weights = sum(tree[0] for tree in trees)
+
+    @F.arrow_udf(DoubleType())
+    def walked(slots: pa.Array) -> pa.Array:
+        n = len(slots)
+        if n == 0 or not trees:
+            return pa.nulls(n, pa.float64())
+        x = slots.flatten().to_numpy(zero_copy_only=False)
+        start = np.arange(n) * (len(x) // n)
+        sums = np.zeros(n)
+        for weight, depth, feature, threshold, members, left, right, value in trees:
+            at = np.zeros(n, np.int64)
+            for _ in range(depth):
+                seen = x[start + feature[at]]
+                goes = seen <= threshold[at]
+                if members is not None:
+                    for place in range(members.shape[1]):
+                        goes |= seen == members[at, place]
+                at = np.where(goes, left[at], right[at])
+            sums += weight * value[at]
+        return pa.array(sums / weights if forest else 1.0 / (1.0 + np.exp(-2.0 * sums)))
+
+    return rows.withColumn(column, walked(vector_to_array(vector)))
 
 
 def importance_shares(nodes: DataFrame, kind: str) -> DataFrame:
