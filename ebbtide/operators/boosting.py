@@ -101,6 +101,15 @@ def ensemble(spark: SparkSession, grown: list, weights: list[float]) -> GBTClass
     return model.setFeaturesCol("raw_features")
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model that fewer rounds would have given: round by round the same trees grow, whatever number is to follow."""
+    java, ml = model._java_obj, SparkSession.active().sparkContext._jvm.org.apache.spark.ml
+    # A slice of a Java array is a Java array.
+    trees, scales = java.trees()[:rounds], java.treeWeights()[:rounds]
+    made = ml.classification.GBTClassificationModel(f"{model.uid}_{rounds}", trees, scales, model.numFeatures, 2)
+    return GBTClassificationModel(made).setFeaturesCol(model.getFeaturesCol())
+
+
 def stepped(rows: DataFrame, grown: list, weights: list[float]) -> DataFrame:
     """Rows with what the trees add to their margin, in one call for a row."""
     spark = rows.sparkSession

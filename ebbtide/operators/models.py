@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators import metrics as mt
-from ebbtide.operators.boosting import boost
+from ebbtide.operators.boosting import boost, first_rounds
 from ebbtide.sources.storage import scratch_path, through_table
 from ebbtide.spec import CATEGORICAL, NUMERIC, SEED
 
@@ -129,28 +129,45 @@ def grid_points(grid: dict[str, list[Any]]) -> list[dict[str, Any]]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+def families(name: str, points: list[dict[str, Any]]) -> list[list[int]]:
+    """Numbers of the points that one fit serves, the one to be fitted first.
+
+    Boosting with fewer rounds gives the first trees of boosting with more, so points that differ in nothing else are one
+    family; any other classifier has families of one.
+    """
+    found: dict[Any, list[int]] = {}
+    for i, point in enumerate(points):
+        shared = tuple(sorted((k, v) for k, v in point.items() if k != "maxIter")) if name == "gbt" and "maxIter" in point else i
+        found.setdefault(shared, []).append(i)
+    return [sorted(members, key=lambda i: -points[i].get("maxIter", 0)) for members in found.values()]
+
+
 def out_of_fold(name: str, train: DataFrame, points: list[dict[str, Any]], overrides=None, folds: int = FOLDS) -> DataFrame:
     """(model, split, customer_id, label, score): what every grid point, fitted without a fold, gives the rows of that fold.
 
     ``model`` is the number of the point, ``split`` that of the fold. Folds come from a hash of the id, so a re-run has the
-    same ones. The fits run a few at a time, and one job scores and writes them all.
+    same ones. The fits run a few at a time, one for a family of points, and one job scores and writes them all.
     """
     fold = F.pmod(F.xxhash64(F.lit("fold"), "customer_id"), F.lit(folds)).cast("int")
     rows = train.withColumn("fold", fold)
 
-    def one(task: tuple[int, int]) -> DataFrame:
-        point, left_out = task
-        model = classifier(name, {**(overrides or {}), **points[point]}).fit(rows.filter(F.col("fold") != left_out))
-        scored = model.setProbabilityCol("_probability").transform(rows.filter(F.col("fold") == left_out))
-        return scored.select(
-            F.lit(str(point)).alias("model"), F.lit(str(left_out)).alias("split"), "customer_id",
-            F.col("label").cast("int").alias("label"), vector_to_array("_probability")[1].alias("score"),
-        )
-
-    tasks = list(itertools.product(range(len(points)), range(folds)))
+    def one(task: tuple[list[int], int]) -> list[DataFrame]:
+        family, left_out = task
+        whole = classifier(name, {**(overrides or {}), **points[family[0]]}).fit(rows.filter(F.col("fold") != left_out))
+        scored = []
+        for point in family:
+            model = whole if point == family[0] else first_rounds(whole, points[point]["maxIter"])
+            found = model.setProbabilityCol("_probability").transform(rows.filter(F.col("fold") == left_out))
+            scored.append(found.select(
+                F.lit(str(point)).alias("model"), F.lit(str(left_out)).alias("split"), "customer_id",
+                F.col("label").cast("int").alias("label"), vector_to_array("_probability")[1].alias("score"),
+            ))
+        return scored
+
+    tasks = list(itertools.product(families(name, points), range(folds)))
     with ThreadPoolExecutor(max_workers=PARALLEL_SEARCH) as pool:
         scored = list(pool.map(inheritable_thread_target(train.sparkSession)(one), tasks))
-    return reduce(DataFrame.unionByName, scored)
+    return reduce(DataFrame.unionByName, itertools.chain(*scored))
 
 
 def search_table(scored: DataFrame, points: list[dict[str, Any]]) -> DataFrame:

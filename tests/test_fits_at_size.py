@@ -1,6 +1,7 @@
 """What fits do per round and per row: partitions that follow the rows, one call for a chunk's trees."""
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -73,3 +74,19 @@ def test_trees_are_walked_in_batches(spark, encoded):
     assert tr.probabilities(encoded.limit(0), nodes, tr.BOOSTED, "p").count() == 0
     average = tr.probabilities(encoded, nodes, tr.FOREST, "p").filter(slots[number] <= middle).select("p").distinct().collect()
     assert [r.p for r in average] == [(0.5 + 0.0625) / 1.5]
+
+
+def test_points_that_differ_in_rounds_share_a_fit(encoded, monkeypatch):
+    """Fewer rounds are the first trees of more rounds: the same scores as from fits of their own."""
+    train = md.training_rows(encoded)
+    points = md.grid_points({"maxDepth": [2, 3], "maxIter": [3, 6]})
+    assert md.families("gbt", points) == [[1, 0], [3, 2]] and md.families("random_forest", points) == [[0], [1], [2], [3]]
+    fits = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, rows: fits.append(self.getMaxIter()) or fit(self, rows))
+    scored = md.out_of_fold("gbt", train, points, {"subsamplingRate": 0.8}, folds=2)
+    assert fits == [6] * 4
+    monkeypatch.setattr(md, "families", lambda name, points: [[i] for i in range(len(points))])
+    alone = md.out_of_fold("gbt", train, points, {"subsamplingRate": 0.8}, folds=2)
+    assert len(fits) == 4 + 8 and scored.count() == 4 * train.count()
+    assert scored.exceptAll(alone).count() == 0 == alone.exceptAll(scored).count()
