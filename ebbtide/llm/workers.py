@@ -27,9 +27,9 @@ def reachable(spark: SparkSession) -> SparkSession:
 def release(*modules: str) -> None:
     """A worker serves one operator after the other: what the codecs of earlier ones remember goes before another fills it."""
     for name in modules:
-        module = sys.modules.get(name)
-        if module is not None:
-            module.codec.cache_clear()
+        for kept in vars(sys.modules.get(name, object)).values():
+            if hasattr(kept, "cache_clear"):
+                kept.cache_clear()
 
 
 def small(rows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
