@@ -90,3 +90,21 @@ def test_points_that_differ_in_rounds_share_a_fit(encoded, monkeypatch):
     alone = md.out_of_fold("gbt", train, points, {"subsamplingRate": 0.8}, folds=2)
     assert len(fits) == 4 + 8 and scored.count() == 4 * train.count()
     assert scored.exceptAll(alone).count() == 0 == alone.exceptAll(scored).count()
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(encoded):
+    """The same trees as of a fit that walks down from the root at every level."""
+    train = md.training_rows(encoded)
+    kept = md.classifier("random_forest", {"numTrees": 5, "maxDepth": 4})
+    assert kept.getCacheNodeIds() and not md.classifier("gbt").getCacheNodeIds()
+    trees = lambda fitted: fitted.toDebugString.split("\n", 1)[1]
+    assert trees(kept.fit(train)) == trees(kept.copy().setCacheNodeIds(False).fit(train))
+
+
+def test_a_search_keeps_its_rows_in_memory(encoded, monkeypatch):
+    seen = []
+    search = md.out_of_fold
+    monkeypatch.setattr(md, "out_of_fold", lambda name, rows, *rest: seen.append((rows, rows.storageLevel.useMemory)) or search(name, rows, *rest))
+    model, table = md.grid_search("logistic_regression", md.training_rows(encoded), {"regParam": [0.01, 0.1]}, folds=2)
+    assert [kept for _, kept in seen] == [True] and not seen[0][0].storageLevel.useMemory
+    assert table.count() == 2 and model.getRegParam() in (0.01, 0.1)
