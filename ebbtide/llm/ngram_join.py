@@ -415,7 +415,10 @@ def verified_links(members: DataFrame, percent: int, relation=similar) -> DataFr
     counts = rest.groupBy("family", "head").agg(F.count("*").alias("members"))
     largest = counts.groupBy("family").agg(F.max_by("head", F.struct("members", "head")).alias("largest"))
     rest = through_table(rest.join(largest, "family"), scratch_path(spark, "ngram-rest"))
-    outsiders = _blocks(rest.filter("head <> largest").drop("blocks", "block"), "row")
+    outside = rest.filter("head <> largest")
+    if outside.isEmpty():
+        return links
+    outsiders = _blocks(outside.drop("blocks", "block"), "row")
     rows = outsiders.select(
         "family", "id", "n", "ngrams", "row", F.lit(True).alias("outside"), "rows",
     )
@@ -490,8 +493,9 @@ def document_groups(
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     digests = through_table(set_digests(source, words), scratch_path(spark, "ngram-sets"))
     # Ids whose rows have different sets; seldom any.
-    several = digests.filter("k1 IS NOT NULL").select("id", "k1", "k2").distinct().groupBy("id").count()
-    several = through_table(several.filter("count > 1").select("id", F.lit(True).alias("several")), scratch_path(spark, "ngram-several"))
+    halves = [bound(half).alias(f"{name}_{half}") for half in ("k1", "k2") for name, bound in (("least", F.min), ("most", F.max))]
+    several = digests.filter("k1 IS NOT NULL").groupBy("id").agg(*halves).filter("least_k1 < most_k1 OR least_k2 < most_k2")
+    several = through_table(several.select("id", F.lit(True).alias("several")), scratch_path(spark, "ngram-several"))
     named = digests.join(small(several), "id", "left").withColumn("node", F.when(F.col("several"), F.col("k1")).otherwise(F.col("id")))
     reps = named.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("node").alias("rep"), F.min("id").alias("least"))
     sets = named.join(reps, ["k1", "k2"], "left").select("id", "n_ngrams", "k1", "k2", "node", "rep", "least", "sketch")

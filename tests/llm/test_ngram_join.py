@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.llm import ngram_join as nj
+from ebbtide.llm import components
 from ebbtide.llm.components import connected
 from tests.llm.helpers import SCHEMA, no_documents, odd_documents, prose
 
@@ -171,3 +172,22 @@ def test_components(spark):
     got = {r.id: r.component for r in connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 200, 203: 200, 205: 200}
     assert connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_components_run_no_round_on_stars(spark, monkeypatch):
+    """Edges that are stars are done; others are flattened the same with minima broadcast and with minima joined."""
+    rounds = []
+    once = components._round
+    monkeypatch.setattr(components, "_round", lambda edges, few: rounds.append(few) or once(edges, few))
+    stars = [(5, 1), (1, 9), (9, 1), (7, 8), (4, 4), (None, 2)]
+    got = sorted(map(tuple, connected(spark.createDataFrame(stars, "a bigint, b bigint")).collect()))
+    assert got == [(1, 1), (5, 1), (7, 7), (8, 7), (9, 1)] and rounds == []
+    edges = [(i, i * 7 % 301) for i in range(300)] + [(2, 1), (1, 2), (-5, -6), (-6, -4), (-7, -6)]
+    few = sorted(map(tuple, connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
+    assert set(rounds) == {True}
+    rounds.clear()
+    monkeypatch.setattr(components, "FEW_EDGES", 0)
+    assert sorted(map(tuple, connected(spark.createDataFrame(edges, "a bigint, b bigint")).collect())) == few
+    assert set(rounds) == {False} and {i: c for i, c in few if i < 0} == {-4: -7, -5: -7, -6: -7, -7: -7}
+    words = spark.createDataFrame([("c", "b"), ("b", "a"), ("x", "x")], "a string, b string")
+    assert sorted(map(tuple, connected(words).collect())) == [("a", "a"), ("b", "a"), ("c", "a")]
