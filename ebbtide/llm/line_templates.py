@@ -13,7 +13,8 @@ make templates of their own.
 
 Lines that recur as they are take part in all counts, as one row with its number of documents, and only leaves with
 several lines and enough documents are split into tokens. Every text is parsed once, into a table of its lines. Lines under ``min_tokens`` tokens always stay. A leaf that a
-third of all lines share is counted from distinct lines; all sums are combined before the shuffle. Nothing is collected.
+third of all lines share is counted from distinct lines; all sums are combined before the shuffle. Nothing is collected,
+and of the tables written on the way only the places of the dropped lines stay.
 
 Null texts stay null, empty ones empty; a repeated row counts as one document and is treated like its twin. Rows with a
 null id are documents; where all holders of a template have one, all keep it. Every input row comes back with its other
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import sieve
-from ebbtide.sources.storage import scratch_path, through_table
+from ebbtide.sources.storage import passing_tables, scratch_path, through_table
 
 DEPTH = 3
 MIN_TOKENS = 5
@@ -128,14 +129,16 @@ def drop_recurring_lines(
 ) -> DataFrame:
     """The documents with recurring lines taken out of ``text``; ``n_lines`` before, ``n_dropped``."""
     spark = docs.sparkSession
-    lines = through_table(parsed_lines(docs, id_column, text_column, min_tokens), scratch_path(spark, "lines"))
-    drops = recurring_lines(lines, min_docs, constant)
-    gone = (
-        lines.select("row", "doc", "pos", "leaf", "line").join(_small(drops), ["leaf", "line"])
-        .filter(~F.col("doc").eqNullSafe(F.col("first")))
-        .groupBy("row").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("row", "_row")
-    )
-    gone = through_table(gone, scratch_path(spark, "line-gone"))
+    path = scratch_path(spark, "line-gone")
+    with passing_tables(spark):
+        lines = through_table(parsed_lines(docs, id_column, text_column, min_tokens), scratch_path(spark, "lines"))
+        drops = recurring_lines(lines, min_docs, constant)
+        gone = (
+            lines.select("row", "doc", "pos", "leaf", "line").join(_small(drops), ["leaf", "line"])
+            .filter(~F.col("doc").eqNullSafe(F.col("first")))
+            .groupBy("row").agg(F.collect_set("pos").alias("_gone")).withColumnRenamed("row", "_row")
+        )
+        gone = through_table(gone, path)
     rows = docs.drop("n_lines", "n_dropped").withColumn("_row", F.xxhash64(id_column, text_column))
     # Only texts that lose lines are shuffled, and a few others.
     some, others = sieve.parted(rows, gone.select("_row"), "_row")

@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from ebbtide.llm.components import connected, local_roots
 from ebbtide.llm.workers import release, small
-from ebbtide.sources.storage import scratch_path, through_table
+from ebbtide.sources.storage import passing_tables, scratch_path, through_table
 
 WORDS, PERCENT = 3, 90
 BLOCK_ROWS, BLOCK_NGRAMS = 1024, 4_000_000
@@ -484,46 +484,66 @@ def document_groups(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sure: int | None = None, id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(id, n_ngrams, k1, k2, group, component_id) of every row.
+    """(id, n_ngrams, k1, k2, group, component_id) of every row, written; tables written on the way are gone.
 
     k1 and k2 are the digest of its set and ``group`` is the number of its component, null without a set. Components are
     named by their smallest id, which is the group's number unless rows of one id have different sets.
     """
     spark, sure = docs.sparkSession, max(percent, sure or percent)
     source = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    digests = through_table(set_digests(source, words), scratch_path(spark, "ngram-sets"))
-    # Ids whose rows have different sets; seldom any.
-    halves = [bound(half).alias(f"{name}_{half}") for half in ("k1", "k2") for name, bound in (("least", F.min), ("most", F.max))]
-    several = digests.filter("k1 IS NOT NULL").groupBy("id").agg(*halves).filter("least_k1 < most_k1 OR least_k2 < most_k2")
-    several = through_table(several.select("id", F.lit(True).alias("several")), scratch_path(spark, "ngram-several"))
-    named = digests.join(small(several), "id", "left").withColumn("node", F.when(F.col("several"), F.col("k1")).otherwise(F.col("id")))
-    reps = named.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("node").alias("rep"), F.min("id").alias("least"))
-    sets = named.join(reps, ["k1", "k2"], "left").select("id", "n_ngrams", "k1", "k2", "node", "rep", "least", "sketch")
-    sets = through_table(sets, scratch_path(spark, "ngram-reps"))
-
-    keys = signature_rows(source.join(small(several), "id", "left"), words, sure)
-    held = keys.withColumn("held", F.count("*").over(Window.partitionBy("key"))).filter("held > 1").drop("held")
-    held = through_table(held, scratch_path(spark, "ngram-holders"))
-    nodes = sets.filter("rep IS NOT NULL").select("node", "rep").distinct()
-    held = held.join(nodes, "node").select(F.col("key").alias("family"), F.col("rep").alias("id")).distinct()
-    counts = held.groupBy("family").agg(F.count("*").alias("held")).filter("held > 1")
-    one = sets.filter("node = rep").groupBy("rep").agg(
-        F.first("n_ngrams").alias("n"), F.first("sketch").alias("ngrams"), F.first("k1").alias("k1"), F.first("id").alias("text_id")
-    ).withColumnRenamed("rep", "id")
-    buckets = held.join(counts, "family").join(one.select("id", "n", "ngrams"), "id")
-    buckets = through_table(buckets, scratch_path(spark, "ngram-buckets"))
-    families = connected(bucket_links(buckets, percent)).select(F.col("id").alias("node"), F.col("component").alias("family"))
-    listed = families.join(one.select(F.col("id").alias("node"), "k1", F.col("text_id").alias("id")), "node")
-    listed = through_table(listed, scratch_path(spark, "ngram-families"))
-    # A small list of members spares the shuffle of all texts; a long one is joined by shuffle.
-    members = family_sets(source.join(small(listed), "id"), words).dropDuplicates(["id"])
-    members = through_table(members, scratch_path(spark, "ngram-members"))
-    groups = connected(verified_links(members, percent)).withColumnRenamed("id", "rep")
-    grouped = sets.join(groups, "rep", "left").withColumn("group", F.coalesce("component", "rep"))
-    least = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("least").alias("component_id"))
-    return grouped.join(least, "group", "left").select(
-        "id", "n_ngrams", "k1", "k2", "group", F.coalesce("component_id", "id").alias("component_id")
-    )
+    path = scratch_path(spark, "document-groups")
+    with passing_tables(spark):
+        sets, several = _named_sets(source, words)
+        one = sets.filter("node = rep").groupBy("rep").agg(
+            F.first("n_ngrams").alias("n"), F.first("sketch").alias("ngrams"), F.first("k1").alias("k1"), F.first("id").alias("text_id")
+        ).withColumnRenamed("rep", "id")
+        families = _families(source.join(small(several), "id", "left"), sets, one, words, percent, sure)
+        listed = families.join(one.select(F.col("id").alias("node"), "k1", F.col("text_id").alias("id")), "node")
+        listed = through_table(listed, scratch_path(spark, "ngram-families"))
+        # A small list of members spares the shuffle of all texts; a long one is joined by shuffle.
+        members = family_sets(source.join(small(listed), "id"), words).dropDuplicates(["id"])
+        members = through_table(members, scratch_path(spark, "ngram-members"))
+        groups = connected(verified_links(members, percent)).withColumnRenamed("id", "rep")
+        grouped = sets.join(groups, "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+        least = grouped.filter("group IS NOT NULL").groupBy("group").agg(F.min("least").alias("component_id"))
+        found = grouped.join(least, "group", "left").select(
+            "id", "n_ngrams", "k1", "k2", "group", F.coalesce("component_id", "id").alias("component_id")
+        )
+        return through_table(found, path)
+
+
+def _named_sets(source: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of all rows with what they are known by, and the ids whose rows have different sets (seldom any)."""
+    spark = source.sparkSession
+    sets_path, several_path = scratch_path(spark, "ngram-reps"), scratch_path(spark, "ngram-several")
+    with passing_tables(spark):
+        digests = through_table(set_digests(source, words), scratch_path(spark, "ngram-sets"))
+        halves = [bound(half).alias(f"{name}_{half}") for half in ("k1", "k2") for name, bound in (("least", F.min), ("most", F.max))]
+        several = digests.filter("k1 IS NOT NULL").groupBy("id").agg(*halves).filter("least_k1 < most_k1 OR least_k2 < most_k2")
+        several = through_table(several.select("id", F.lit(True).alias("several")), several_path)
+        named = digests.join(small(several), "id", "left").withColumn("node", F.when(F.col("several"), F.col("k1")).otherwise(F.col("id")))
+        reps = named.filter("k1 IS NOT NULL").groupBy("k1", "k2").agg(F.min("node").alias("rep"), F.min("id").alias("least"))
+        sets = named.join(reps, ["k1", "k2"], "left").select("id", "n_ngrams", "k1", "k2", "node", "rep", "least", "sketch")
+        return through_table(sets, sets_path), several
+
+
+def _families(docs: DataFrame, sets: DataFrame, one: DataFrame, words: int, percent: int, sure: int) -> DataFrame:
+    """(node, family) of the sets that are tied; ``docs`` are (id, text, several), ``one`` has a row for each distinct set."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "ngram-ties")
+    with passing_tables(spark):
+        buckets_path = scratch_path(spark, "ngram-buckets")
+        with passing_tables(spark):
+            keys = signature_rows(docs, words, sure)
+            held = keys.withColumn("held", F.count("*").over(Window.partitionBy("key"))).filter("held > 1").drop("held")
+            held = through_table(held, scratch_path(spark, "ngram-holders"))
+            nodes = sets.filter("rep IS NOT NULL").select("node", "rep").distinct()
+            held = held.join(nodes, "node").select(F.col("key").alias("family"), F.col("rep").alias("id")).distinct()
+            counts = held.groupBy("family").agg(F.count("*").alias("held")).filter("held > 1")
+            buckets = held.join(counts, "family").join(one.select("id", "n", "ngrams"), "id")
+            buckets = through_table(buckets, buckets_path)
+        tied = connected(bucket_links(buckets, percent))
+        return through_table(tied.select(F.col("id").alias("node"), F.col("component").alias("family")), path)
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sure: int | None = None) -> DataFrame:
@@ -532,7 +552,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, sur
     Rows without words or id stay, rows that repeat another in id and text go.
     """
     spark = docs.sparkSession
-    groups = through_table(document_groups(docs, words, percent, sure), scratch_path(spark, "document-groups"))
+    groups = document_groups(docs, words, percent, sure)
     repeated = groups.filter("id IS NOT NULL").groupBy(F.col("id").alias("doc_id")).count().filter("count > 1").select("doc_id")
     repeated = through_table(repeated, scratch_path(spark, "repeated-ids"))
     copies = groups.filter("id <> component_id").select(F.col("id").alias("doc_id")).join(repeated, "doc_id", "left_anti")

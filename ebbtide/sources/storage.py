@@ -6,11 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Scratch paths given out in the innermost block of ``passing_tables``, of this thread.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     """The folder named in ``spark.checkpoint.dir``, or else ``fallback``.
 
@@ -70,7 +75,26 @@ def stamp(spark: SparkSession, path: str) -> tuple[int, int, int]:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _PASSING.get() is not None:
+        _PASSING.get().append(path)
+    return path
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables for the time of the block: what is at the scratch paths asked for in it, by any function, goes at its end.
+
+    A table that outlives the block is written within it to a path that was asked for before.
+    """
+    paths: list[str] = []
+    token = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

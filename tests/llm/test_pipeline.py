@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline as cp
 from ebbtide.llm import bpe, decontaminate, quality_cnn
+from ebbtide.sources import storage
 from ebbtide.sources.storage import scratch_path, through_table
 from tests.llm.helpers import odd_documents
 from tests.llm.test_line_templates import brute as brute_lines
@@ -80,3 +81,32 @@ def test_repeated_and_odd_rows(spark):
     docs = odd_documents(spark)
     near = cp.near_duplicates(spark, docs, SF)
     assert near.count() == docs.count() - 1 and near.filter("doc_id = 7").count() == 1
+
+
+def test_stages_leave_no_tables_but_those_their_result_reads(spark, monkeypatch, tmp_path):
+    """A stage's result may be read for long; lines, signatures and buckets must not lie on the disk beside it."""
+    monkeypatch.setattr(storage, "shared_folder", lambda *_: str(tmp_path))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for stage, results in ((cp.lines, {"line-gone"}), (cp.near_duplicates, {"document-groups", "repeated-ids"})):
+        out = stage(spark, docs, SF)
+        left = {path.name.rsplit("-", 1)[0] for path in tmp_path.iterdir()}
+        assert left == results
+        assert 0 < out.count() < docs.count()
+        for path in tmp_path.iterdir():
+            storage.remove(spark, str(path))
+
+
+def test_tables_of_a_block_go_at_its_end(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "shared_folder", lambda *_: str(tmp_path))
+    path = scratch_path(spark, "result")
+    with pytest.raises(ZeroDivisionError), storage.passing_tables(spark):
+        outer = through_table(spark.range(5), scratch_path(spark, "outer"))
+        with storage.passing_tables(spark):
+            inner = through_table(outer.filter("id > 1"), scratch_path(spark, "inner"))
+            kept = through_table(inner, path)
+            scratch_path(spark, "never-written")
+        assert {p.name.split("-")[0] for p in tmp_path.iterdir()} == {"outer", "result"} and outer.count() == 5
+        1 / 0
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["result"] and kept.count() == 3
+    through_table(spark.range(1), scratch_path(spark, "later"))
+    assert len(list(tmp_path.iterdir())) == 2
