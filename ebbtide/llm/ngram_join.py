@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.llm.components import connected, local_roots
-from ebbtide.llm.workers import release, small
+from ebbtide.llm.workers import CODECS, release, small
 from ebbtide.sources.storage import passing_tables, scratch_path, through_table
 
 WORDS, PERCENT = 3, 90
@@ -219,7 +219,7 @@ def _task(job):
     """The work of a task, after which its worker, which others use as well, keeps no words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release("ebbtide.llm.bpe", "ebbtide.llm.token_store")
+        release(*CODECS)
         try:
             yield from job(batches)
         finally:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 from collections.abc import Callable, Iterator
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 ROOT = str(Path(__file__).resolve().parents[2])
+# Modules whose codecs remember pieces of texts from one task to the next.
+CODECS = ("ebbtide.llm.bpe", "ebbtide.llm.token_counts", "ebbtide.llm.token_store")
 
 
 def reachable(spark: SparkSession) -> SparkSession:
@@ -26,10 +29,14 @@ def reachable(spark: SparkSession) -> SparkSession:
 
 def release(*modules: str) -> None:
     """A worker serves one operator after the other: what the codecs of earlier ones remember goes before another fills it."""
-    for name in modules:
-        for kept in vars(sys.modules.get(name, object)).values():
-            if hasattr(kept, "cache_clear"):
-                kept.cache_clear()
+    caches = [kept for name in modules for kept in vars(sys.modules.get(name, object)).values() if hasattr(kept, "cache_clear")]
+    full = [kept for kept in caches if kept.cache_info().currsize]
+    for kept in full:
+        kept.cache_clear()
+    if full:
+        # A codec and its memories refer to each other, so only the collector frees them; Arrow keeps what it had for later.
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def small(rows: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
@@ -42,6 +49,7 @@ def filtered(docs: DataFrame, column: str, keep: Callable[[pa.Array], list[bool]
     place = docs.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release(*CODECS)
         for batch in batches:
             yield batch.filter(pa.array(keep(batch.column(place)), pa.bool_()))
 
