@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from urllib.parse import urlsplit
 
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -106,6 +107,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def checkpointed(spark: SparkSession, rows: RDD) -> RDD:
+    """As ``cut_lineage``, of an RDD that is also kept in memory, on disk beyond it; its file is for the caller to remove."""
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.checkpoint()
+    kept.foreach(lambda row: None)
+    return kept
+
+
 def through_table(df: DataFrame, path: str) -> DataFrame:
     """Write once as Parquet and go on from the written rows."""
     df.write.mode("overwrite").parquet(path)
