@@ -107,9 +107,9 @@ def shape_of(regressor: RandomForestRegressor, slots: int) -> dict[str, Any]:
     }
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """The same rows in partitions that follow their number, in the order of their ids."""
-    n, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+def spread(rows: DataFrame, n: int | None = None) -> DataFrame:
+    """The same rows in partitions that follow their number, ``n`` where it is known, in the order of their ids."""
+    n, cores = rows.count() if n is None else n, rows.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(n // LEAST_ROWS, cores), -(-n // MOST_ROWS))
     return rows.repartition(parts).sortWithinPartitions("customer_id")
 
@@ -158,7 +158,8 @@ def blocks(encoded: DataFrame) -> tuple[RDD, dict[str, Any]]:
 
     kind = rows.schema["customer_id"].dataType.simpleString()
     narrow = rows.select("customer_id", (F.col("split") == "train").alias("train"), F.col("label").cast("double"), vector_to_array("raw_features"))
-    placed = spread(narrow.mapInArrow(binned, f"customer_id {kind}, train boolean, label double, codes binary"))
+    # Counted before they are sorted into bins, which is done once.
+    placed = spread(narrow.mapInArrow(binned, f"customer_id {kind}, train boolean, label double, codes binary"), rows.count())
     state = placed.mapInArrow(gathered, "block binary").rdd.map(lambda row: pickle.loads(row.block))
     return checkpointed(encoded.sparkSession, state), plan
 
@@ -174,9 +175,9 @@ class Grown:
 class Rounds:
     """A chunk of rounds over blocks: every grower takes its tree in turn, then ``end`` gives the blocks after them."""
 
-    def __init__(self, state: RDD, plan: dict[str, Any], todo: list[Grower], weights: list[float], start: int) -> None:
+    def __init__(self, state: RDD, plan: dict[str, Any], todo: list[Grower], weights: list[float], start: int, spark: SparkSession) -> None:
         self.before, self.state, self.plan, self.todo, self.weights = state, state, plan, todo, weights
-        self.start, self.parts = start, state.getNumPartitions()
+        self.start, self.parts, self.spark = start, state.getNumPartitions(), spark
         self.slots = len(plan["cuts"])
         self.found: list[hs.Tree] = []
         self.areas: list[float | None] = []
@@ -186,7 +187,7 @@ class Rounds:
         """All rounds in the one task that has all rows."""
         plan, shape = self.plan, shape_of(self.todo[0], self.slots)
         rounds = [(g.getSeed(), weight, self.start + i == 0) for i, (g, weight) in enumerate(zip(self.todo, self.weights))]
-        self.state = self.before.map(lambda block: hs.grown_here(block, plan, shape, rounds)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.state = checkpointed(self.spark, self.before.map(lambda block: hs.grown_here(block, plan, shape, rounds)), at_once=False)
         ((self.found, self.areas),) = self.state.map(lambda block: (block["trees"], block["areas"])).collect()
 
     def _level_by_level(self, regressor: Grower) -> None:
@@ -215,7 +216,7 @@ class Rounds:
         self.taken += 1
         return Grown(self.found[self.taken - 1], self.slots)
 
-    def _spread_areas(self, spark: SparkSession) -> list[float | None]:
+    def _spread_areas(self) -> list[float | None]:
         names = [str(i) for i in range(len(self.todo))]
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,19 +226,20 @@ class Rounds:
                     yield pa.RecordBatch.from_arrays([pa.array(label), *map(pa.array, marks)], ["label", *[f"prob_{name}" for name in names]])
 
         sent = self.state.map(lambda block: (pickle.dumps((block["label"][~block["train"]], block["marks"])),))
-        found = spark.createDataFrame(sent, "held binary").mapInArrow(rows, ", ".join(["label double", *[f"prob_{name} double" for name in names]]))
-        path = scratch_path(spark, "margins")
+        found = self.spark.createDataFrame(sent, "held binary").mapInArrow(rows, ", ".join(["label double", *[f"prob_{name} double" for name in names]]))
+        path = scratch_path(self.spark, "margins")
         table = through_table(found, path).select(F.lit(None).cast("bigint").alias("customer_id"), F.lit("val").alias("split"), "*")
         areas = round_areas(table, names)
-        remove(spark, path)
+        remove(self.spark, path)
         return areas
 
-    def end(self, spark: SparkSession) -> tuple[RDD, list[float | None]]:
+    def end(self) -> tuple[RDD, list[float | None]]:
+        state = self.state
         if self.parts > 1:
-            self.areas = self._spread_areas(spark)
-        state = checkpointed(spark, self.state.map(hs.cleared))
-        self.state.unpersist()
-        forgotten(spark, self.before)
+            self.areas = self._spread_areas()
+            state = checkpointed(self.spark, self.state.map(hs.cleared))
+            self.state.unpersist()
+        forgotten(self.spark, self.before)
         return state, self.areas
 
 
@@ -333,10 +335,10 @@ def boost(encoded: DataFrame, params: dict[str, Any], patience: int, seed: int,
         done = len(grown)
         todo = [grower(params, seed + done + i) for i in range(min(chunk, params["maxIter"] - done))]
         added = [1.0 if done + i == 0 else params["stepSize"] for i in range(len(todo))]
-        rounds = Rounds(state, plan, todo, added, done)
+        rounds = Rounds(state, plan, todo, added, done, spark)
         grown += [regressor.fit(rounds) for regressor in todo]
         weights += added
-        state, seen = rounds.end(spark)
+        state, seen = rounds.end()
         areas += seen
         best, stopped = best_round(areas, patience)
         if stopped or len(grown) >= params["maxIter"]:

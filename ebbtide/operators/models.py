@@ -18,7 +18,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -279,8 +279,11 @@ def fitted_params(model) -> dict[str, float]:
 
 
 def score(encoded: DataFrame, fitted: list[Fitted]) -> DataFrame:
-    """Add ``prob_<model>`` for every customer: one pass, one chain of transformations."""
-    scored = encoded
+    """Add ``prob_<model>`` for every customer: one pass, one chain of transformations.
+
+    Trees look slots up at every node, which in a sparse vector is a search, so they get dense ones.
+    """
+    scored = encoded.withColumn("raw_features", array_to_vector(vector_to_array("raw_features")))
     for item in fitted:
         vector = f"_probability_{item.name}"
         model = item.model.copy()

@@ -107,14 +107,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpointed(spark: SparkSession, rows: RDD) -> RDD:
-    """As ``cut_lineage``, of an RDD that is also kept in memory, on disk beyond it; its file is for the caller to remove."""
+def checkpointed(spark: SparkSession, rows: RDD, at_once: bool = True) -> RDD:
+    """As ``cut_lineage``, of an RDD that is also kept in memory, on disk beyond it; its file is for the caller to remove.
+
+    If not ``at_once``, the next job that reads it brings it there.
+    """
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     kept.checkpoint()
-    kept.foreach(lambda row: None)
+    if at_once:
+        kept.foreach(lambda row: None)
     return kept
 
 
